@@ -254,3 +254,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFram
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
     per_fp = named.join(least, "root").select("fp", "component_id")
     return fp.join(per_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8) -> DataFrame:
+    """documents with one row of each near-duplicate group, that of smallest doc_id.
+
+    Of repeated rows one stays; rows without id stay only where their group has no id (one of
+    them). All columns are passed through as they are.
+    """
+    ids = near_duplicates(documents.select("doc_id", "text"), shingle, tau)
+    heads = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept id")).distinct()
+    kept = documents.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("kept id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
