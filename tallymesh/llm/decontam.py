@@ -25,12 +25,17 @@ def words(text: F.Column) -> F.Column:
 
 
 def _pairs(a: F.Column, n: F.Column, shift: int, f) -> F.Column:
-    """f of each value and the one ``shift`` after it; n: length of a."""
-    return F.zip_with(F.slice(a, F.lit(1), n - shift), F.slice(a, F.lit(1 + shift), n - shift), f)
+    """f of each value and the one ``shift`` after it; n: length of a, or less than 0."""
+    left = F.greatest(n - shift, F.lit(0))
+    return F.zip_with(F.slice(a, F.lit(1), left), F.slice(a, F.lit(1 + shift), left), f)
 
 
 def _kept(df: DataFrame, window: int) -> DataFrame:
-    """df with column ``fps``: the kept hashes of ``words`` of at least ``window`` words."""
+    """df with column ``fps``: the kept hashes of ``words``, none for fewer than ``window`` words.
+
+    Explode it with explode_outer: for explode, Spark infers a filter on its size, which it
+    pushes down through all steps and so spells out every step twice over and over.
+    """
     k = min(K, window)
     df = df.withColumn("a", F.transform("words", lambda w: F.xxhash64(w)))
     n, have = F.size("words"), 1
@@ -57,10 +62,10 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 def _probe(df: DataFrame, window: int, short: list[int]) -> DataFrame:
     """(…, fp): hashes under which rows of df (with ``words``) may meet the benchmark."""
-    out = _kept(df.where(F.size("words") >= window), window).withColumn("fp", F.explode("fps")).drop("fps", "words")
+    out = _kept(df, window).withColumn("fp", F.explode_outer("fps")).drop("fps", "words")
     for n in short:
         hashes = F.array_distinct(F.transform(_windows(n), lambda s: F.xxhash64(s)))
-        out = out.unionByName(df.where(F.size("words") >= n).withColumn("fp", F.explode(hashes)).drop("words"))
+        out = out.unionByName(df.where(F.size("words") >= n).withColumn("fp", F.explode_outer(hashes)).drop("words"))
     return out
 
 
@@ -73,9 +78,9 @@ def _hits(base: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = items.withColumn("n", F.least(F.size("words"), F.lit(window)))
     short = sorted(r[0] for r in items.where(F.col("n") < window).select("n").distinct().collect())  # window - 1 values at most
-    item_windows = items.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: F.array_join(F.slice("words", i, F.col("n")), " "))).alias("win"), "n").distinct()
+    item_windows = items.select("item_id", F.explode_outer(F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: F.array_join(F.slice("words", i, F.col("n")), " "))).alias("win"), "n").distinct()
     item_windows = stage(item_windows, "item_windows")
-    long_fps = _kept(items.where(F.col("n") == window), window).select(F.explode("fps").alias("fp"))
+    long_fps = _kept(items.where(F.col("n") == window), window).select(F.explode_outer("fps").alias("fp")).where("fp is not null")
     short_fps = items.where(F.col("n") < window).select(F.xxhash64(F.array_join("words", " ")).alias("fp"))
     item_fps = stage(long_fps.unionByName(short_fps).distinct(), "item_fps")
     n_fps, n_windows = item_fps.count(), item_windows.count()
@@ -91,7 +96,7 @@ def _hits(base: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
 
     spots = None
     for n in [*short, window]:
-        at = cand.where(F.size("words") >= n).select("doc_id", "th", F.posexplode(_windows(n)).alias("pos", "win"), F.lit(n).alias("n"))
+        at = cand.where(F.size("words") >= n).select("doc_id", "th", F.posexplode_outer(_windows(n)).alias("pos", "win"), F.lit(n).alias("n"))
         spots = at if spots is None else spots.unionByName(at)
     hits = spots.join(_small(item_windows.drop("n"), n_windows), "win")
     return stage(hits.select("doc_id", "th", "pos", "n", "item_id").distinct(), "hits")
