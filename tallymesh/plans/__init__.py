@@ -1 +1 @@
-
+"""Whole runs, staged tables and shipping."""
