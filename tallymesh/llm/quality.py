@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import Words, chunks, mix, text_bytes
 
 BINS = 1 << 17
-SAMPLE = 20_000  # labelled rows that a model is fit on, about
+SAMPLE = 10_000  # labelled rows that a model is fit on, about
 THRESHOLD = 0.3
 ALPHA, COST, EPOCHS, FOLDS = 1.0, 1.0, 6, 3
 
@@ -117,7 +117,7 @@ def ratios(bins: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 
 def _unit(b: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x = r[b]
-    return b, x / max(float(np.sqrt(x @ x)), 1e-12)
+    return b, (x / max(float(np.sqrt(x @ x)), 1e-12)).astype(np.float32)
 
 
 def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -173,7 +173,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         got = [x for b in batches for x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
         got.sort(key=lambda x: (x[0], x[2]))
         y = np.array([2 * x[1] - 1 for x in got])
-        w, bias, a, b = fit([np.frombuffer(x[2], "<u4").astype(np.int64) for x in got], y)
+        w, bias, a, b = fit([np.frombuffer(x[2], "<u4").astype(np.int32) for x in got], y)
         yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), *(pa.array([v], pa.float64()) for v in (bias, a, b))], ["w", "bias", "a", "b"])
 
     sampled = rows.select("doc_id", "text", "quality").mapInArrow(features, "doc_id long, quality int, bins binary")
