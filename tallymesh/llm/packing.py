@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_TOKENS = 4 << 20
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 _LOOK = 8
 
 
