@@ -7,13 +7,15 @@ hull and admissible ranges of the partitions are small tables.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .metrics import modularity
+from .linalg import slopes
+from .metrics import adjusted_rand, modularity
 
 MAX_EDGES = 60_000_000  # a graph of more edges is not sent to tasks
 
@@ -226,5 +228,40 @@ def steepest(curve: DataFrame) -> DataFrame:
     return step.agg(F.max_by("x", F.struct(F.round("d", 9), -F.col("x"))).alias("x"))
 
 
+def bend(curve: DataFrame) -> DataFrame:
+    """(x): the inner point of largest second difference, the first of equals."""
+    w = Window.orderBy("x")
+    d = F.lead("y").over(w) - 2 * F.col("y") + F.lag("y").over(w)
+    return curve.select("x", d.alias("d")).where("d is not null").agg(F.max_by("x", F.struct(F.round("d", 9), -F.col("x"))).alias("x"))
+
+
+def first_jump(curve: DataFrame, factor: float = 2.0) -> DataFrame:
+    """(x): the first point whose step is over ``factor`` times the median step; null if none."""
+    w = Window.orderBy("x")
+    step = curve.select("x", (F.col("y") - F.lag("y").over(w)).alias("d")).where("d is not null")
+    typical = step.agg((F.median(F.abs("d")) * factor).alias("t"))
+    return step.crossJoin(typical).where("abs(d) > t").agg(F.min("x").alias("x"))
+
+
+def rise(curve: DataFrame, share: float = 0.9) -> DataFrame:
+    """(x): the first point at which y has made ``share`` of its way from least to most."""
+    ends = curve.agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    return curve.crossJoin(ends).where(F.col("y") >= F.col("lo") + share * (F.col("hi") - F.col("lo"))).agg(F.min("x").alias("x"))
+
+
+def first_plateau(curve: DataFrame, width: int = 5, share: float = 0.1) -> DataFrame:
+    """(x): the first point whose windowed slope is at most ``share`` of the steepest; null if none."""
+    s = slopes(curve, width)
+    top = s.agg(F.max(F.abs("slope")).alias("top"))
+    return s.crossJoin(top).where(F.abs("slope") <= share * F.col("top")).agg(F.min("x").alias("x"))
+
+
+def stability(runs: DataFrame) -> DataFrame:
+    """(gamma, ari): agreement of each resolution's labels (gamma, cell, cluster) with the next one's."""
+    grid = [r[0] for r in runs.select("gamma").distinct().orderBy("gamma").collect()]  # a row per resolution
+    out = [adjusted_rand(runs.where(F.col("gamma") == a), runs.where(F.col("gamma") == b)).select(F.lit(a).alias("gamma"), "ari") for a, b in zip(grid, grid[1:], strict=False)]
+    return reduce(DataFrame.unionByName, out)
+
+
 def partition_score(edges: DataFrame, labels: DataFrame, gamma: float, kind: str = "newman") -> DataFrame:
     return modularity(edges, labels, kind).select((F.col("a") - gamma * F.col("b")).alias("q"))

@@ -379,9 +379,51 @@ def curve_knee(s, d):
     return cluster.knee(_sv(s).select(F.col("i").alias("x"), F.col("s").alias("y")))
 
 
+def _curve(s):
+    return _sv(s).select(F.col("i").alias("x"), F.col("s").alias("y"))
+
+
+@_query("SELECT max_by(x, round(d, 9) * 1e4 - x / 1e3) AS x FROM (SELECT i AS x, s - lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL", _SV)
+def curve_steepest(s, d):
+    return cluster.steepest(_curve(s))
+
+
+@_query("SELECT max_by(x, round(d, 9) * 1e4 - x / 1e3) AS x FROM (SELECT i AS x, lead(s) OVER (ORDER BY i) - 2 * s + lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL", _SV)
+def curve_bend(s, d):
+    return cluster.bend(_curve(s))
+
+
+@_query("SELECT min(x) AS x FROM st, (SELECT median(abs(d)) * 2 AS t FROM st) WHERE abs(d) > t", _SV, "st AS (SELECT * FROM (SELECT i AS x, s - lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL)")
+def curve_first_jump(s, d):
+    return cluster.first_jump(_curve(s))
+
+
+@_query("SELECT min(i) AS x FROM sv, (SELECT min(s) AS lo, max(s) AS hi FROM sv) WHERE s >= lo + 0.9 * (hi - lo)", _SV)
+def curve_rise(s, d):
+    return cluster.rise(_curve(s))
+
+
+@_query("SELECT min(x) AS x FROM sl WHERE abs(slope) <= 0.1 * (SELECT max(abs(slope)) FROM sl)", _SV, "sl AS (SELECT i AS x, (last_value(s) OVER w - first_value(s) OVER w) / (last_value(i) OVER w - first_value(i) OVER w) AS slope FROM sv WINDOW w AS (ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))")
+def curve_first_plateau(s, d):
+    return cluster.first_plateau(_curve(s))
+
+
 # ---------------------------------------------------------------- reporting
 
 
+@_query("SELECT route, cluster, round(score, 6) AS score, CASE WHEN score >= 0.85 THEN 'high' WHEN score >= 0.7 THEN 'fair' ELSE 'low' END AS band, (row_number() OVER (PARTITION BY route ORDER BY score DESC, cluster))::INT AS rank FROM (SELECT p_type AS route, p_brand AS cluster, avg(p_retailprice / 2500) AS score FROM part GROUP BY 1, 2)")
+def purity_bands(s, d):
+    from .plans.report import purity_bands as bands
+
+    p = src.read(s, d, "part").select(F.col("p_type").alias("route"), F.col("p_brand").alias("cluster"), (F.col("p_retailprice") / 2500).alias("score"))
+    return bands(p).select("route", "cluster", _r("score"), "band", "rank")
+
+
+@_query("SELECT j AS i, i AS j, round(w, 6) AS w FROM dir", _EMB, _PAIR, _KNN10, _EDGES)
+def transposed_graph(s, d):
+    return neighbors.transpose(_directed(s, d)).select("i", "j", _r("w"))
+
+
 def _metrics(s, d):
     names = F.array(*[F.lit(x) for x in ("ilisi", "clisi", "graph_connectivity", "label_silhouette", "batch_silhouette", "isolated_label", "rogue_mean", "sccaf", "mean")])
     p = src.read(s, d, "part").where("p_partkey < 36")

@@ -147,8 +147,8 @@ def test_low_rank_is_found(spark):
     assert abs(linalg.suggest(sv, 400, 150, 0, 1, 50).first().above - 8) <= 2
 
 
-@pytest.mark.parametrize("n,d,offset", [(200, 10, 2.5), (150, 8, 1.5)])
-def test_harmony_removes_a_batch_offset(spark, n, d, offset):
+@pytest.mark.parametrize("n,d,offset,one_task", [(200, 10, 2.5, 10**6), (150, 8, 1.5, 10**6), (150, 8, 1.5, 10)])
+def test_harmony_removes_a_batch_offset(spark, n, d, offset, one_task):
     rng = np.random.default_rng(2)
     rows = []
     for c in (-3, 3):
@@ -157,7 +157,7 @@ def test_harmony_removes_a_batch_offset(spark, n, d, offset):
             v[:, 0] += c
             v[:, 1] += offset * b
             rows += [(x, str(b)) for x in v]
-    out = integrate.harmony(pts(spark, rows), theta=2.0, n_clusters=4).orderBy("cell").collect()
+    out = integrate.harmony(pts(spark, rows), one_task, theta=2.0, n_clusters=4).orderBy("cell").collect()
     z, b = np.array([r.vec for r in out]), np.array([int(r.batch) for r in out])
     side = np.repeat([0, 1], 2 * n)
 
@@ -200,10 +200,10 @@ def test_leiden_and_resolution(spark):
 
 
 def test_hull_and_ranges():
-    p = [(1.0, 1.0), (0.9, 0.5), (0.6, 0.2), (0.5, 0.4), (0.70, 0.30)]
-    assert cluster.hull(p) == [2, 4, 1, 0]
+    p = [(1.0, 1.0), (0.875, 0.5), (0.625, 0.25), (0.5, 0.375), (0.75, 0.375)]
+    assert cluster.hull(p) == [2, 1, 0]  # the collinear point between is left out
     r = cluster.ranges(p, 0.05, 1.5)
-    assert (r[0]["lo"], r[0]["hi"]) == (0.0, pytest.approx(0.2)) and r[1]["hi"] == pytest.approx(1.0) and r[2]["hi"] == 1.5
+    assert (r[0]["lo"], r[0]["hi"]) == (0.0, 0.25) and (r[1]["lo"], r[1]["hi"]) == (0.25, 1.0) and r[2]["hi"] == 1.5
     assert r[3]["width"] == -math.inf
     assert [x["lo"] for x in cluster.ranges([(1.0, 1.0), (0.5, 0.5)], 0.05, 1.5)] == [0.0, 1.0]
 
