@@ -128,5 +128,5 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, window: int = 10) ->
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of documents that hold no benchmark window, with their columns as they were."""
     found = _hits(_keyed(documents), benchmark, window).select(F.col("doc_id").alias("hit d"), F.col("th").alias("hit t")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("hit d")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit t"))
+    same = documents["doc_id"].cast("long").eqNullSafe(found["hit d"]) & (F.xxhash64(documents["text"].cast("string")) == found["hit t"])
     return documents.join(found, same, "left_anti")

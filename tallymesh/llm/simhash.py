@@ -4,7 +4,8 @@ Fingerprints are collapsed to distinct values first, so exact copies never meet
 Bits that vary together are grouped into partitions; a dynamic program gives each partition
 its own threshold (-1: not probed) such that sum(t + 1) = tau + 1, by candidate counts
 estimated from bit statistics of all fingerprints. A probe of threshold t spells out the
-flips of t bits; fingerprints that meet under a key are verified on all bits. A key that
+flips of half as many bits on either side; fingerprints that meet under a key are verified
+on all bits. A key that
 holds more than BLOCK fingerprints is cut into blocks and every pair of blocks is a task of
 its own, so no task gathers a whole hot key and no link is lost.
 """
@@ -19,9 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, stage, text_bytes
+from .common import components, mix, partitions, stage, text_bytes
 
 BLOCK = 2048
+PLANNED = 4_000_000
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _PLANES = np.arange(8, dtype=np.int64) * 256
 
@@ -101,16 +103,20 @@ def _keys(width: int, t: int) -> int:
     return sum(int(np.prod(range(width - i + 1, width + 1))) // int(np.prod(range(1, i + 1))) for i in range(t + 1)) if t >= 0 else 0
 
 
-def _sides(t: int) -> tuple[int, int]:
-    """Bits that each side of a probe flips: together t."""
-    return (t + 1) // 2, t // 2
+def _flipped(t: int) -> int:
+    """Bits that a probe of threshold t flips: two that differ in t bits meet half way."""
+    return (t + 1) // 2
 
 
 def plan(n: int, together: np.ndarray, tau: int, pair_cost: float = 0.02) -> list[tuple[list[int], int]]:
-    """[(bits, threshold)] of least estimated cost: keys written plus pairs verified."""
+    """[(bits, threshold)] of least estimated cost: keys written plus pairs verified.
+
+    Small tables are planned as if they had PLANNED fingerprints, so that plans, and what they
+    write, do not change with the size of a test.
+    """
     n = max(n, 1)
     q = 2 * (p := np.diag(together) / n) * (1 - p)
-    best = None
+    scale, best = max(n, PLANNED), None
     for m in range(1, tau + 3):
         groups, table = _groups(together, n, m), []
         for g in groups:
@@ -119,9 +125,7 @@ def plan(n: int, together: np.ndarray, tau: int, pair_cost: float = 0.02) -> lis
                 dist = np.convolve(dist, [1 - q[b], q[b]])
             row = {-1: 0.0}
             for t in range(min(tau, 4) + 1):
-                a, b = _sides(t)
-                keys = _keys(len(g), a) + (_keys(len(g), b) if a != b else 0)
-                row[t] = n * keys + pair_cost * n * n / 2 * dist[: t + 1].sum()
+                row[t] = scale * _keys(len(g), _flipped(t)) + pair_cost * scale * scale / 2 * dist[: 2 * _flipped(t) + 1].sum()
             table.append(row)
         cost = {0: (0.0, ())}
         for row in table:
@@ -143,25 +147,27 @@ def _flips(bits: list[int], t: int) -> np.ndarray:
 
 
 def _probe(fps: DataFrame, probes) -> DataFrame:
-    """(part, side, key, fp): side 0 meets side 1, and each other where they are alike (side 2)."""
+    """(key, fp): the keys under which fingerprints meet, a hash of partition and flipped bits.
+
+    Keys of two probes that happen to be equal cost a comparison and no more: every meeting
+    is verified on all bits.
+    """
 
     def run(batches):
         for b in batches:
             v = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for part, (bits, t) in enumerate(probes):
                 own = np.uint64(sum(1 << (63 - x) for x in bits))
-                a, c = _sides(t)
-                for side, flips in ((2, a),) if a == c else ((0, a), (1, c)):
-                    for mask in _flips(bits, flips):
-                        key = (v & own) ^ mask
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), part, np.int32)), pa.array(np.full(len(v), side, np.int32)), pa.array(key.view(np.int64)), pa.array(v.view(np.int64))], ["part", "side", "key", "fp"])
+                for mask in _flips(bits, _flipped(t)):
+                    key = mix(((v & own) ^ mask) + np.uint64(part))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v.view(np.int64))], ["key", "fp"])
 
-    return fps.mapInArrow(run, "part int, side int, key long, fp long")
+    return fps.mapInArrow(run, "key long, fp long")
 
 
-def _links_in(fp: np.ndarray, side: np.ndarray, tau: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+def _links_in(fp: np.ndarray, tau: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
     """Verified links among the rows of one key. whole: a spanning forest suffices (fewer rows)."""
-    fp, at = np.unique(fp, return_index=True)
+    fp = np.unique(fp)
     if len(fp) < 2:
         return fp[:0], fp[:0]
     if not whole:
@@ -190,49 +196,51 @@ def links(fps: DataFrame, tau: int = 2, whole: bool = True, block: int = BLOCK)
     n, together = bit_statistics(fps)
     probes = plan(n, together, tau)
     rows = _probe(fps, probes)
-    sizes = rows.groupBy("part", "key").agg(F.count("*").alias("size")).where("size > 1")
-    met = rows.join(sizes, ["part", "key"])
-    met = met.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    cells = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, own) * F.col("blocks") + F.greatest(x, own)))
-    met = met.select("part", "key", F.explode(cells).alias("cell"), "side", "fp")
-    met = met.repartition(partitions(spark), "part", "key", "cell").sortWithinPartitions("part", "key", "cell")
+    hot = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
+    hot = stage(hot.select(F.col("key").alias("hot"), "blocks"), "hot")
+    met = rows.select("key", F.lit(0).alias("cell"), "fp")
+    if hot.count():
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, own) * F.col("blocks") + F.greatest(x, own))
+        both = rows.join(hot, rows.key == hot.hot, "left")
+        met = both.select("key", F.explode(F.coalesce(cells, F.array(F.lit(0)))).alias("cell"), "fp")
+    met = met.repartition(partitions(spark), "key", "cell").sortWithinPartitions("key", "cell")
 
     def run(batches):
         held: list = []
         last = None
 
         def flush(parts):
-            part, key, cell, side, fp = (np.concatenate(x) for x in zip(*parts, strict=True))
-            new = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
+            key, cell, fp = (np.concatenate(x) for x in zip(*parts, strict=True))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
             lo, hi = np.concatenate([[0], new]), np.concatenate([new, [len(fp)]])
             us, vs = [], []
-            two = hi - lo == 2  # most keys: all at once
+            two = hi - lo == 2  # most keys that meet at all: at once
             a, b = fp[lo[two]], fp[lo[two] + 1]
             ok = (np.bitwise_count(a ^ b) <= tau) & (a != b)
             us.append(a[ok]), vs.append(b[ok])
-            for i, j in zip(lo[~two].tolist(), hi[~two].tolist(), strict=True):
-                if j - i > 2:
-                    x, y = _links_in(fp[i:j], side[i:j], tau, whole)
-                    us.append(x), vs.append(y)
+            more = hi - lo > 2
+            for i, j in zip(lo[more].tolist(), hi[more].tolist(), strict=True):
+                x, y = _links_in(fp[i:j], tau, whole)
+                us.append(x), vs.append(y)
             u, v = np.concatenate(us), np.concatenate(vs)
             u, v = np.minimum(u, v), np.maximum(u, v)
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            cols[4] = cols[4].view(np.uint64)
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            cols[2] = cols[2].view(np.uint64)
             if not len(cols[0]):
                 continue
-            same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
+            same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut or (last is not None and last != tuple(int(c[0]) for c in cols[:3])):
+            if cut or (last is not None and last != tuple(int(c[0]) for c in cols[:2])):
                 first = [c[:cut] for c in cols]
                 if held or cut:
                     yield flush([*held, first])
                 held = []
             held.append([c[cut:] for c in cols])
-            last = tuple(int(c[-1]) for c in cols[:3])
+            last = tuple(int(c[-1]) for c in cols[:2])
         if held:
             yield flush(held)
 
@@ -264,5 +272,5 @@ def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8) -> DataFrame:
     """
     ids = near_duplicates(documents.select("doc_id", "text"), shingle, tau)
     heads = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept id")).distinct()
-    kept = documents.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col("kept id")), "left_semi")
+    kept = documents.join(heads, documents["doc_id"].cast("long").eqNullSafe(heads["kept id"]), "left_semi")
     return kept.dropDuplicates(["doc_id"])

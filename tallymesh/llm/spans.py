@@ -97,7 +97,7 @@ def _slots(mini: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return (mini >> np.uint64(60)).astype(np.int64), (mini & mask).astype(np.int64), ((mini >> np.uint64(24)) & mask).astype(np.int64)
 
 
-def _bloom(repeated: DataFrame, count: int) -> tuple[int, np.ndarray]:
+def bloom_filter(repeated: DataFrame, count: int) -> tuple[int, np.ndarray]:
     """A bit per slot, as (segments, bytes); each segment is built by one task."""
     bits = int(np.clip(int(16 * max(count, 1)).bit_length(), 16, BLOOM_BITS))
 
@@ -118,7 +118,7 @@ def _bloom(repeated: DataFrame, count: int) -> tuple[int, np.ndarray]:
     return bits, out
 
 
-def _maybe(mini: np.ndarray, bits: int, filled: np.ndarray) -> np.ndarray:
+def in_bloom(mini: np.ndarray, bits: int, filled: np.ndarray) -> np.ndarray:
     seg, i, j = _slots(mini, bits)
     return ((filled[seg, i >> 3] >> (7 - (i & 7)) & 1) & (filled[seg, j >> 3] >> (7 - (j & 7)) & 1)).astype(bool)
 
@@ -151,7 +151,7 @@ def _cold(docs: DataFrame, k: int, bits: int, bloom, hot) -> DataFrame:
     def send(batches):
         filled, often = bloom.value, hot.value
         for ids, ths, r in _batches(batches, k):
-            keep = np.flatnonzero(_maybe(r.mini, bits, filled) & ~np.isin(r.mini, often))
+            keep = np.flatnonzero(in_bloom(r.mini, bits, filled) & ~np.isin(r.mini, often))
             w, raw = r.words, r.words.data.tobytes()
             at = r.at[keep]
             lo, hi = w.starts[at].tolist(), w.ends[at + r.n[keep] + k - 2].tolist()
@@ -263,7 +263,7 @@ def repeated_windows(docs: DataFrame, k: int = 35) -> DataFrame:
     count, total = repeated.agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
     limit = max(HOT, total // HOT_LIST)
     often = np.array([x[0] for x in repeated.where(F.col("w") > limit).select("mini").collect()], np.int64).view(np.uint64)
-    bits, filled = _bloom(repeated, count)
+    bits, filled = bloom_filter(repeated, count)
     bloom, hot = sc.broadcast(filled), sc.broadcast(often)
     found = _cold(docs, k, bits, bloom, hot)
     return found.unionByName(_often(docs, k, hot)) if len(often) else found

@@ -319,3 +319,18 @@ def test_lines(spark):
         assert sorted(repr((r.doc_id, r.text)) for r in got.collect()) == lines_left([(r.doc_id, r.text) for r in t.collect()])
     twice = dedup_lines(df.where("doc_id = 1").unionByName(df.where("doc_id = 1"))).collect()
     assert len(twice) == 2 and twice[0].text == twice[1].text
+
+
+def test_edit_distance():
+    from tallymesh.llm.lines import edit_bound, edit_distance
+
+    rng = np.random.default_rng(0)
+    for _ in range(400):
+        a, b = ("".join(rng.choice(list("abcé"), rng.integers(0, 12))) for _ in range(2))
+        assert edit_distance(a, b) == edit(a, b)
+        a, b = (" ".join(rng.choice(["a", "bb", "ccc", "é"], rng.integers(0, 8))) for _ in range(2))
+        assert edit(a, b) <= edit_bound(a, b) <= max(len(a), len(b)) * 2 + 2 and (a != b or edit_bound(a, b) == 0)
+    long = "".join(rng.choice(list("abcdef"), 300))
+    for cut in (0, 50, 299):
+        other = long[:cut] + "zz" + long[cut + 3 :]
+        assert edit_distance(long, other) == edit(long, other)
