@@ -192,10 +192,13 @@ def links(fps: DataFrame, tau: int = 2, whole: bool = True, block: int = BLOCK)
     whole=True: enough links to connect all that are linked (a forest per key, linear output);
     whole=False: every linked pair, u < v as unsigned, each once.
     """
-    spark = fps.sparkSession
     n, together = bit_statistics(fps)
-    probes = plan(n, together, tau)
-    rows = _probe(fps, probes)
+    return meetings(_probe(fps, plan(n, together, tau)), tau, whole, block)
+
+
+def meetings(rows: DataFrame, tau: int, whole: bool = False, block: int = BLOCK) -> DataFrame:
+    """(u, v): links, as links() gives them, between fingerprints of rows (key, fp) that share a key."""
+    spark = rows.sparkSession
     hot = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
     hot = stage(hot.select(F.col("key").alias("hot"), "blocks"), "hot")
     met = rows.select("key", F.lit(0).alias("cell"), "fp")

@@ -334,3 +334,25 @@ def test_edit_distance():
     for cut in (0, 50, 299):
         other = long[:cut] + "zz" + long[cut + 3 :]
         assert edit_distance(long, other) == edit(long, other)
+
+
+def test_near_lines_beyond_two_bits_go(spark):
+    from tallymesh.llm.lines import dedup_lines, line_hashes
+
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9))) for _ in range(2000)]
+    pairs = []
+    for size in [1, 2, 3, 5, 8, 11, 12, 20, 31, 60] * 8:
+        a = list(rng.choice(vocabulary, size))
+        b = list(a)
+        for i in rng.choice(size, max(1, size // 12), replace=False):
+            b[i] = b[i][:-1] + "qz"[: 1 + (size > 5)] if size < 20 else str(rng.choice(vocabulary))
+        a, b = " ".join(a), " ".join(b)
+        if a != b and edit(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
+            pairs.append((a, b))
+    bits = [(int(x) ^ int(y)).bit_count() for x, y in (line_hashes([a.encode(), b.encode()]) for a, b in pairs)]
+    assert len(pairs) > 60 and sum(x > 2 for x in bits) > 40
+    df = spark.createDataFrame([x for i, (a, b) in enumerate(pairs) for x in ((2 * i, a), (2 * i + 1, b))], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in dedup_lines(df, wide=True).collect()}
+    assert [got[2 * i] for i in range(len(pairs))] == [a for a, _ in pairs]
+    assert not any(got[2 * i + 1] for i in range(len(pairs)))
