@@ -356,3 +356,17 @@ def test_near_lines_beyond_two_bits_go(spark):
     got = {r.doc_id: r.text for r in dedup_lines(df, wide=True).collect()}
     assert [got[2 * i] for i in range(len(pairs))] == [a for a, _ in pairs]
     assert not any(got[2 * i + 1] for i in range(len(pairs)))
+
+
+def test_lines_of_one_simhash_all_meet(spark):
+    from tallymesh.llm.lines import dedup_lines, line_hashes
+
+    rng = np.random.default_rng(9)
+    words = [f"{x:05x}" for x in rng.integers(1 << 16, 1 << 20, 40)]
+    words = ["".join(chr(97 + int(c, 16)) for c in w) for w in words]
+    mixed = [words[i] for i in rng.permutation(40)]
+    near = [*mixed[3:], *mixed[:3]]  # the same words, near mixed and far from the head
+    rows_ = [(1, " ".join(words)), (2, " ".join(mixed)), (3, " ".join(near))]
+    assert len(set(line_hashes([t.encode() for _, t in rows_]).tolist())) == 1
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert got == {1: rows_[0][1], 2: rows_[1][1], 3: ""}
