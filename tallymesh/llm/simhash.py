@@ -23,23 +23,34 @@ from pyspark.sql import functions as F
 from .common import components, mix, partitions, stage, text_bytes
 
 BLOCK = 2048
+SKETCH = 8  # least shingle hashes of a text; at a similarity of 0.8 two texts share one but for 3 in a million
+WIDE = 24  # bits within which texts that share one are compared; at a similarity of 0.8 about 10 are expected
 PLANNED = 4_000_000
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _PLANES = np.arange(8, dtype=np.int64) * 256
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """SimHash of the shingles of A-Z lower-cased words; 0 for no words."""
+def shingles(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of the shingles of A-Z lower-cased words, none for no words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, ">u8")
     line = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 1
     starts = np.concatenate([[0], np.cumsum(size)])
     n = max(1, len(words) - shingle + 1)
     ends = starts[min(shingle, len(words)) :][:n] - 1
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], 42) for a, b in zip(starts[:n].tolist(), ends.tolist(), strict=True)], ">u8")
+    return np.array([digest(line[a:b], 42) for a, b in zip(starts[:n].tolist(), ends.tolist(), strict=True)], ">u8")
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """SimHash of the shingles of A-Z lower-cased words; 0 for no words."""
+    return simhash(shingles(text, shingle))
+
+
+def simhash(h: np.ndarray) -> int:
+    n = len(h)
     counts = np.bincount((h.view(np.uint8).reshape(n, 8) + _PLANES).ravel(), minlength=2048).reshape(8, 256)
     ones = (counts @ _BYTE_BITS).ravel()
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
@@ -267,13 +278,67 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFram
     return fp.join(per_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8) -> DataFrame:
+def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, th, node, fp, sketch) of docs (doc_id, th, text); node: hash of the words in lower case."""
+
+    def run(batches):
+        for b in batches:
+            data, off = text_bytes(b.column(2))
+            raw, at = data.tobytes(), off.tolist()
+            fps, nodes, least = [], [], []
+            for i, j in zip(at, at[1:], strict=False):
+                h = shingles(raw[i:j], shingle)
+                fps.append(simhash(h)), least.append(np.unique(h)[:SKETCH].astype(np.uint64).view(np.int64).tolist())
+                nodes.append(xxhash.xxh64_intdigest(b" ".join(raw[i:j].lower().split())))
+            cols = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(least, pa.list_(pa.int64()))], ["doc_id", "th", "node", "fp", "sketch"])
+
+    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, node long, fp long, sketch array<long>")
+
+
+def _alike(pairs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(u, v) of the pairs (x, y, tx, ty) whose texts have a shingle similarity of least or more."""
+
+    def run(batches):
+        for b in batches:
+            ok = []
+            last, own = None, frozenset()
+            for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if p != last:
+                    last, own = p, frozenset(shingles(p.encode(), shingle).tolist())
+                other = frozenset(shingles(q.encode(), shingle).tolist())
+                ok.append(len(own & other) >= least * len(own | other) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], ["u", "v"])
+
+    return pairs.select("x", "y", "tx", "ty").mapInArrow(run, "u long, v long")
+
+
+def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8, least: float = 0.8) -> DataFrame:
     """documents with one row of each near-duplicate group, that of smallest doc_id.
 
-    Of repeated rows one stays; rows without id stay only where their group has no id (one of
-    them). All columns are passed through as they are.
+    Texts are linked when the similarity of their sets of shingles is least or more, which is
+    checked for texts whose fingerprints differ in tau bits or fewer and for those within WIDE
+    bits that share one of their SKETCH least shingle hashes. Of repeated rows one stays, and of
+    rows with one id the one of least text hash; rows without id stay only where their group has
+    no id (one of each group). All columns are passed through as they are.
     """
-    ids = near_duplicates(documents.select("doc_id", "text"), shingle, tau)
-    heads = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept id")).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    sigs = stage(_signatures(base, shingle), "signatures")
+    row = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
+    per = stage(sigs.groupBy("node").agg(F.first("fp").alias("fp"), F.min(row).alias("low"), F.first("sketch").alias("sketch")), "texts")
+    near = links(per.select("fp").distinct(), tau, whole=False)
+    near = near.unionByName(meetings(per.select(F.explode("sketch").alias("key"), "fp"), WIDE)).distinct()
+    own = per.select("fp", "node")
+    across = near.join(own.toDF("u", "x"), "u").join(own.toDF("v", "y"), "v").select("x", "y")
+    within = own.toDF("fp", "x").join(own.toDF("fp", "y"), "fp").where("x < y").select("x", "y")
+    pairs = stage(across.unionByName(within), "pairs")
+    nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
+    wanted = per.join(nodes, "node").select("node", F.col("low.th").alias("th"))
+    texts = stage(base.select("th", "text").join(wanted, "th").dropDuplicates(["node"]).select("node", "text"), "pair_texts")
+    linked = _alike(pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y"), shingle, least)
+    comp = components(linked, "simhash")
+    heads = per.join(comp, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
+    heads = heads.select(F.col("low.doc_id").alias("kept id")).distinct()
     kept = documents.join(heads, documents["doc_id"].cast("long").eqNullSafe(heads["kept id"]), "left_semi")
     return kept.dropDuplicates(["doc_id"])

@@ -90,3 +90,22 @@ def test_run_is_the_chain_of_stages(spark, documents, tmp_path):
     whole = corpus_pipeline.run(spark, SF).collect()
     assert {(r.doc_id, r.doc_tokens) for r in whole} == {(r.doc_id, r.doc_tokens) for r in docs.collect()}
     assert len({key(r) for r in whole}) == len(whole)
+
+
+def test_near_duplicates_are_checked_by_shingles(spark):
+    from tallymesh.llm.simhash import keep_one
+
+    def share(a, b):
+        a, b = (({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) for w in (a.split(), b.split()))
+        return len(a & b) / len(a | b)
+
+    base = {d: [f"d{d}w{i}" for i in range(200)] for d in range(120)}
+    docs = []
+    for d, w in base.items():  # a run of other words at the end: similarity from 0.68 to 0.98
+        n = 4 + d % 34
+        docs += [(2 * d, " ".join(w)), (2 * d + 1, " ".join([*w[:-n], *(f"x{d}y{i}" for i in range(n))]))]
+    want = sorted([2 * d for d in base] + [2 * d + 1 for d in base if share(docs[2 * d][1], docs[2 * d + 1][1]) < 0.8])
+    far = sum((bits(docs[2 * d][1]) ^ bits(docs[2 * d + 1][1])).bit_count() > 8 and 2 * d + 1 not in want for d in base)
+    close = sum((bits(docs[2 * d][1]) ^ bits(docs[2 * d + 1][1])).bit_count() <= 8 and 2 * d + 1 in want for d in base)
+    assert far and close  # the radius alone misses some and takes others
+    assert sorted(r.doc_id for r in keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()) == want
