@@ -339,6 +339,7 @@ def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8, least: float
     linked = _alike(pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y"), shingle, least)
     comp = components(linked, "simhash")
     heads = per.join(comp, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
-    heads = heads.select(F.col("low.doc_id").alias("kept id")).distinct()
-    kept = documents.join(heads, documents["doc_id"].cast("long").eqNullSafe(heads["kept id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    heads = heads.select(F.col("low.doc_id").alias("kept id"), F.col("low.th").alias("kept text"))
+    own_text = F.xxhash64(F.coalesce(documents["text"].cast("string"), F.lit("")))
+    kept = documents.withColumn("own text", own_text).join(heads, documents["doc_id"].cast("long").eqNullSafe(heads["kept id"]) & (own_text == heads["kept text"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "own text"]).drop("own text")

@@ -109,3 +109,12 @@ def test_near_duplicates_are_checked_by_shingles(spark):
     close = sum((bits(docs[2 * d][1]) ^ bits(docs[2 * d + 1][1])).bit_count() <= 8 and 2 * d + 1 in want for d in base)
     assert far and close  # the radius alone misses some and takes others
     assert sorted(r.doc_id for r in keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()) == want
+
+
+def test_rows_without_id_or_of_one_id_stay(spark):
+    from tallymesh.llm.simhash import keep_one
+
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    docs = [(None, text["a"]), (None, text["b"]), (None, text["b"]), (None, text["c"]), (1, text["c"]), (2, text["d"]), (2, text["e"]), (3, text["f"]), (2, text["f"])]
+    got = sorted(((r.doc_id, r.text) for r in keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([(None, text["a"]), (None, text["b"]), (1, text["c"]), (2, text["d"]), (2, text["e"]), (2, text["f"])], key=repr)
