@@ -5,27 +5,22 @@ Bits that vary together are grouped into partitions; a dynamic program gives eac
 its own threshold (-1: not probed) such that sum(t + 1) = tau + 1, by candidate counts
 estimated from bit statistics of all fingerprints. A probe of threshold t spells out the
 flips of half as many bits on either side; fingerprints that meet under a key are verified
-on all bits. A key that
-holds more than BLOCK fingerprints is cut into blocks and every pair of blocks is a task of
-its own, so no task gathers a whole hot key and no link is lost.
+on all bits (see meet.py, which also splits hot keys).
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, partitions, stage, text_bytes
+from .common import components, mix, stage, text_bytes
+from .meet import BLOCK, meetings, pairs_of, verified
 
-BLOCK = 2048
 SKETCH = 8  # least shingle hashes of a text; at a similarity of 0.8 two texts share one but for 3 in a million
 WIDE = 24  # bits within which texts that share one are compared; at a similarity of 0.8 about 10 are expected
-PLANNED = 4_000_000
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _PLANES = np.arange(8, dtype=np.int64) * 256
 
@@ -120,14 +115,10 @@ def _flipped(t: int) -> int:
 
 
 def plan(n: int, together: np.ndarray, tau: int, pair_cost: float = 0.02) -> list[tuple[list[int], int]]:
-    """[(bits, threshold)] of least estimated cost: keys written plus pairs verified.
-
-    Small tables are planned as if they had PLANNED fingerprints, so that plans, and what they
-    write, do not change with the size of a test.
-    """
+    """[(bits, threshold)] of least estimated cost for n fingerprints: keys written plus pairs verified."""
     n = max(n, 1)
     q = 2 * (p := np.diag(together) / n) * (1 - p)
-    scale, best = max(n, PLANNED), None
+    best = None
     for m in range(1, tau + 3):
         groups, table = _groups(together, n, m), []
         for g in groups:
@@ -136,7 +127,7 @@ def plan(n: int, together: np.ndarray, tau: int, pair_cost: float = 0.02) -> lis
                 dist = np.convolve(dist, [1 - q[b], q[b]])
             row = {-1: 0.0}
             for t in range(min(tau, 4) + 1):
-                row[t] = scale * _keys(len(g), _flipped(t)) + pair_cost * scale * scale / 2 * dist[: 2 * _flipped(t) + 1].sum()
+                row[t] = n * _keys(len(g), _flipped(t)) + pair_cost * n * n / 2 * dist[: 2 * _flipped(t) + 1].sum()
             table.append(row)
         cost = {0: (0.0, ())}
         for row in table:
@@ -152,113 +143,19 @@ def plan(n: int, together: np.ndarray, tau: int, pair_cost: float = 0.02) -> lis
     return [(g, t) for g, t in best[1] if t >= 0]
 
 
-def _flips(bits: list[int], t: int) -> np.ndarray:
-    """Masks of every choice of up to t of these bits (bit 0 is the highest)."""
-    return np.array([sum(1 << (63 - b) for b in c) for i in range(t + 1) for c in combinations(bits, i)], np.uint64)
-
-
-def _probe(fps: DataFrame, probes) -> DataFrame:
-    """(key, fp): the keys under which fingerprints meet, a hash of partition and flipped bits.
-
-    Keys of two probes that happen to be equal cost a comparison and no more: every meeting
-    is verified on all bits.
-    """
-
-    def run(batches):
-        for b in batches:
-            v = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for part, (bits, t) in enumerate(probes):
-                own = np.uint64(sum(1 << (63 - x) for x in bits))
-                for mask in _flips(bits, _flipped(t)):
-                    key = mix(((v & own) ^ mask) + np.uint64(part))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v.view(np.int64))], ["key", "fp"])
-
-    return fps.mapInArrow(run, "key long, fp long")
-
-
-def _links_in(fp: np.ndarray, tau: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links among the rows of one key. whole: a spanning forest suffices (fewer rows)."""
-    fp = np.unique(fp)
-    if len(fp) < 2:
-        return fp[:0], fp[:0]
-    if not whole:
-        d = np.bitwise_count(fp[:, None] ^ fp[None, :])
-        i, j = np.nonzero(np.triu(d <= tau, 1))
-        return fp[i], fp[j]
-    left, u, v = fp, [], []
-    front = left[:0]
-    while len(left):
-        if not len(front):
-            front, left = left[:1], left[1:]
-        near = np.bitwise_count(left ^ front[0]) <= tau
-        new = left[near]
-        u.append(np.full(len(new), front[0])), v.append(new)
-        front, left = np.concatenate([front[1:], new]), left[~near]
-    return np.concatenate(u), np.concatenate(v)
+def probes_of(planned: list[tuple[list[int], int]]) -> list[tuple[list[int], int]]:
+    """(bits, bits flipped) of each part of a plan."""
+    return [(bits, _flipped(t)) for bits, t in planned]
 
 
 def links(fps: DataFrame, tau: int = 2, whole: bool = True, block: int = BLOCK) -> DataFrame:
     """(u, v): links between distinct fingerprints (column fp) that differ in tau bits or fewer.
 
     whole=True: enough links to connect all that are linked (a forest per key, linear output);
-    whole=False: every linked pair, u < v as unsigned, each once.
+    whole=False: every linked pair once.
     """
-    n, together = bit_statistics(fps)
-    return meetings(_probe(fps, plan(n, together, tau)), tau, whole, block)
-
-
-def meetings(rows: DataFrame, tau: int, whole: bool = False, block: int = BLOCK) -> DataFrame:
-    """(u, v): links, as links() gives them, between fingerprints of rows (key, fp) that share a key."""
-    spark = rows.sparkSession
-    hot = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
-    hot = stage(hot.select(F.col("key").alias("hot"), "blocks"), "hot")
-    met = rows.select("key", F.lit(0).alias("cell"), "fp")
-    if hot.count():
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, own) * F.col("blocks") + F.greatest(x, own))
-        both = rows.join(hot, rows.key == hot.hot, "left")
-        met = both.select("key", F.explode(F.coalesce(cells, F.array(F.lit(0)))).alias("cell"), "fp")
-    met = met.repartition(partitions(spark), "key", "cell").sortWithinPartitions("key", "cell")
-
-    def run(batches):
-        held: list = []
-        last = None
-
-        def flush(parts):
-            key, cell, fp = (np.concatenate(x) for x in zip(*parts, strict=True))
-            new = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
-            lo, hi = np.concatenate([[0], new]), np.concatenate([new, [len(fp)]])
-            us, vs = [], []
-            two = hi - lo == 2  # most keys that meet at all: at once
-            a, b = fp[lo[two]], fp[lo[two] + 1]
-            ok = (np.bitwise_count(a ^ b) <= tau) & (a != b)
-            us.append(a[ok]), vs.append(b[ok])
-            more = hi - lo > 2
-            for i, j in zip(lo[more].tolist(), hi[more].tolist(), strict=True):
-                x, y = _links_in(fp[i:j], tau, whole)
-                us.append(x), vs.append(y)
-            u, v = np.concatenate(us), np.concatenate(vs)
-            u, v = np.minimum(u, v), np.maximum(u, v)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
-
-        for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            cols[2] = cols[2].view(np.uint64)
-            if not len(cols[0]):
-                continue
-            same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut or (last is not None and last != tuple(int(c[0]) for c in cols[:2])):
-                first = [c[:cut] for c in cols]
-                if held or cut:
-                    yield flush([*held, first])
-                held = []
-            held.append([c[cut:] for c in cols])
-            last = tuple(int(c[-1]) for c in cols[:2])
-        if held:
-            yield flush(held)
-
-    return met.mapInArrow(run, "u long, v long").distinct()
+    rows = fps.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("size"), F.array().cast("array<long>").alias("keys"))
+    return pairs_of(meetings(rows, [tau], 0.0, probes_of(plan(*bit_statistics(fps), tau)), not whole, block))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFrame:
@@ -278,26 +175,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFram
     return fp.join(per_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _sketch(h: np.ndarray) -> list[int]:
+    """Keys of class 1: the SKETCH least of ascending hashes."""
+    return (mix(h[:SKETCH].astype(np.uint64)) & np.uint64(0xFFFFFFFFFFFFFFFC) | np.uint64(1)).view(np.int64).tolist()
+
+
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, th, node, fp, sketch) of docs (doc_id, th, text); node: hash of the words in lower case."""
+    """(doc_id, th, node, fp, size, sketch) of docs (doc_id, th, text); node: hash of the words in lower case; size: distinct shingles."""
 
     def run(batches):
         for b in batches:
             data, off = text_bytes(b.column(2))
             raw, at = data.tobytes(), off.tolist()
-            fps, nodes, least = [], [], []
+            fps, nodes, sizes, least = [], [], [], []
             for i, j in zip(at, at[1:], strict=False):
                 h = shingles(raw[i:j], shingle)
-                fps.append(simhash(h)), least.append(np.unique(h)[:SKETCH].astype(np.uint64).view(np.int64).tolist())
+                own = np.unique(h)
+                fps.append(simhash(h)), sizes.append(len(own)), least.append(_sketch(own))
                 nodes.append(xxhash.xxh64_intdigest(b" ".join(raw[i:j].lower().split())))
             cols = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, fps)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(least, pa.list_(pa.int64()))], ["doc_id", "th", "node", "fp", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, pa.array(sizes, pa.int64()), pa.array(least, pa.list_(pa.int64()))], ["doc_id", "th", "node", "fp", "size", "sketch"])
 
-    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, node long, fp long, sketch array<long>")
+    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, node long, fp long, size long, sketch array<long>")
 
 
 def _alike(pairs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """(u, v) of the pairs (x, y, tx, ty) whose texts have a shingle similarity of least or more."""
+    """(u, v) of the pairs (u, v, tx, ty) whose texts have a shingle similarity of least or more."""
 
     def run(batches):
         for b in batches:
@@ -310,10 +213,10 @@ def _alike(pairs: DataFrame, shingle: int, least: float) -> DataFrame:
                 ok.append(len(own & other) >= least * len(own | other) - 1e-9)
             yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], ["u", "v"])
 
-    return pairs.select("x", "y", "tx", "ty").mapInArrow(run, "u long, v long")
+    return pairs.select("u", "v", "tx", "ty").mapInArrow(run, "u long, v long")
 
 
-def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8, least: float = 0.8) -> DataFrame:
+def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 3, least: float = 0.8) -> DataFrame:
     """documents with one row of each near-duplicate group, that of smallest doc_id.
 
     Texts are linked when the similarity of their sets of shingles is least or more, which is
@@ -326,18 +229,17 @@ def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 8, least: float
     base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     sigs = stage(_signatures(base, shingle), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
-    per = stage(sigs.groupBy("node").agg(F.first("fp").alias("fp"), F.min(row).alias("low"), F.first("sketch").alias("sketch")), "texts")
-    near = links(per.select("fp").distinct(), tau, whole=False)
-    near = near.unionByName(meetings(per.select(F.explode("sketch").alias("key"), "fp"), WIDE)).distinct()
-    own = per.select("fp", "node")
-    across = near.join(own.toDF("u", "x"), "u").join(own.toDF("v", "y"), "v").select("x", "y")
-    within = own.toDF("fp", "x").join(own.toDF("fp", "y"), "fp").where("x < y").select("x", "y")
-    pairs = stage(across.unionByName(within), "pairs")
-    nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
+    per = stage(sigs.groupBy("node").agg(F.first("fp").alias("fp"), F.min(row).alias("low"), F.first("size").alias("size"), F.first("sketch").alias("keys")), "texts")
+    radii = [tau, WIDE]
+    met = stage(meetings(per, radii, least, probes_of(plan(*bit_statistics(per.select("fp")), tau))), "met")
+    nodes = met.select(F.col("u").alias("node")).unionByName(met.where("v is not null").select(F.col("v").alias("node"))).distinct()
     wanted = per.join(nodes, "node").select("node", F.col("low.th").alias("th"))
     texts = stage(base.select("th", "text").join(wanted, "th").dropDuplicates(["node"]).select("node", "text"), "pair_texts")
-    linked = _alike(pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y"), shingle, least)
-    comp = components(linked, "simhash")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        return _alike(pairs.join(texts.toDF("u", "tx"), "u").join(texts.toDF("v", "ty"), "v"), shingle, least)
+
+    comp = verified(met, check, radii, least, "simhash")
     heads = per.join(comp, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
     heads = heads.select(F.col("low.doc_id").alias("kept id"), F.col("low.th").alias("kept text"))
     own_text = F.xxhash64(F.coalesce(documents["text"].cast("string"), F.lit("")))

@@ -266,37 +266,50 @@ def edit(a, b):
     return row[-1]
 
 
+def near_lines(flats):
+    """All pairs of edit similarity 0.8 or more: every pair is compared unless its counts of three bytes in a row rule it out."""
+    from tallymesh.llm.lines import edit_distance
+
+    flats = sorted(flats, key=lambda x: len(x.decode()))
+    texts = [x.decode() for x in flats]
+    size = np.array([len(t) for t in texts])
+    grams = np.zeros((len(flats), 1024), np.uint8)
+    for i, x in enumerate(flats):
+        for g in range(len(x) - 2):
+            k = zlib.crc32(x[g : g + 3]) % 1024
+            grams[i, k] += grams[i, k] < 255
+    out = []
+    for i in range(len(flats)):
+        j = np.arange(i + 1, np.searchsorted(size, size[i] / 0.8 + 1e-9, "right"))
+        most = np.floor(size[j] * 0.2 + 1e-9).astype(int)
+        apart = (np.maximum(grams[j], grams[i]) - np.minimum(grams[j], grams[i])).sum(1, dtype=np.int64)
+        for k, m in zip(j[apart <= 12 * most].tolist(), most[apart <= 12 * most].tolist(), strict=True):
+            if edit_distance(texts[i], texts[k], m) <= m:
+                out.append((flats[i], flats[k]))
+    return out
+
+
 def lines_left(docs):
-    from tallymesh.llm.lines import line_hashes, normal
+    from tallymesh.llm.lines import normal
 
     seen = [(d is None, d or 0, n, flat, i) for i, (d, t) in enumerate(docs) for n, flat in enumerate(normal(t or "")) if flat]
     seen.sort()
     first = {}
     for s in seen:
         first.setdefault(s[3], s)
-    flats = sorted(first, key=first.get)
-    fps = dict(zip(flats, map(int, line_hashes(flats)), strict=True))
-    head = {}
-    for f in flats:
-        head.setdefault(fps[f], f)
-    parent = {f: f for f in flats}
+    parent = {f: f for f in first}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    heads = list(head.values())
-    pairs = [(head[fps[f]], f) for f in flats if head[fps[f]] != f]
-    pairs += [(a, b) for i, a in enumerate(heads) for b in heads[i + 1 :] if (fps[a] ^ fps[b]).bit_count() <= 2]
-    for a, b in pairs:
-        x, y = a.decode(), b.decode()
-        if edit(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9):
-            a, b = find(a), find(b)
-            if first[a] > first[b]:
-                a, b = b, a
-            parent[b] = a
-    keep = {first[f][:3] for f in flats if find(f) == f}
+    for a, b in near_lines(first):
+        a, b = find(a), find(b)
+        if first[a] > first[b]:
+            a, b = b, a
+        parent[b] = a
+    keep = {first[f][:3] for f in first if find(f) == f}
     out = []
     for d, t in docs:
         if t is None:
@@ -336,6 +349,57 @@ def test_edit_distance():
         assert edit_distance(long, other) == edit(long, other)
 
 
+def test_many_distances_at_once():
+    from tallymesh.llm.lines import WORDS, similar
+
+    rng = np.random.default_rng(1)
+    pairs = [("", ""), ("a", ""), ("a", "a"), ("ab" * 32, "ab" * 31 + "ba"), ("é" * 65, "é" * 60), ("x" * (64 * WORDS + 1), "x" * (64 * WORDS - 9))]
+    for n in [1, 2, 5, 9, 30, 63, 64, 65, 128, 190, 300] * 8:
+        a = "".join(rng.choice(list("abcdé ü"), n))
+        b = list(a)
+        for _ in range(int(rng.integers(0, n // 3 + 2))):
+            i, kind = int(rng.integers(0, len(b) + 1)), int(rng.integers(0, 3))
+            b[i : i + (kind != 0)] = [] if kind == 1 else [str(rng.choice(list("abcdxé")))]
+        pairs += [(a, "".join(b)), ("".join(b), a)]
+    want = [edit(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9) for a, b in pairs]
+    assert 40 < sum(want) < len(want) - 40
+    assert similar(pairs).tolist() == want
+
+
+def test_lines_near_a_hot_line(spark, monkeypatch):
+    """Groups beyond FEW lines, hot keys, and strays that a forest alone would not compare."""
+    from tallymesh.llm import meet
+    from tallymesh.llm.lines import dedup_lines
+
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(400)]
+    base = [str(x) for x in rng.choice(words, 30, replace=False)]
+    texts = []
+    for n in [0, 1, 2, 3, 5, 7, 8, 9, 10] * 12:  # near and not so near variants that share shingles
+        own = list(base)
+        for i in rng.choice(30, n, replace=False):
+            own[i] = str(rng.choice(words))
+        texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    flat = [(d, t) for d, t in enumerate(texts)]
+    linked = {frozenset(x) for x in near_lines({t.encode() for t in texts})}
+    assert len(linked) > 500
+    want = lines_left(flat)
+    for block, rate in ((2048, 16), (20, 1)):
+        monkeypatch.setattr(meet, "RATE", rate)
+        monkeypatch.setattr(meet.meetings, "__defaults__", ((), False, block))
+        assert sorted(repr((r.doc_id, r.text)) for r in dedup_lines(df).collect()) == want
+
+
+def test_removed_lines_are_counted(spark):
+    from tallymesh.llm.lines import line_report
+
+    rows_ = [(1, "one two three\n\nfour five"), (2, "one two three\n\nfour five"), (3, "\n"), (4, None), (5, "one two three"), (6, "\nfour five")]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in line_report(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: (3, 0, sha(rows_[0][1])), 2: (3, 2, sha("")), 3: (2, 0, sha("\n")), 4: (1, 0, sha("")), 5: (1, 1, sha("")), 6: (2, 1, sha(""))}
+
+
 def test_near_lines_beyond_two_bits_go(spark):
     from tallymesh.llm.lines import dedup_lines, line_hashes
 
@@ -353,7 +417,7 @@ def test_near_lines_beyond_two_bits_go(spark):
     bits = [(int(x) ^ int(y)).bit_count() for x, y in (line_hashes([a.encode(), b.encode()]) for a, b in pairs)]
     assert len(pairs) > 60 and sum(x > 2 for x in bits) > 40
     df = spark.createDataFrame([x for i, (a, b) in enumerate(pairs) for x in ((2 * i, a), (2 * i + 1, b))], "doc_id long, text string")
-    got = {r.doc_id: r.text for r in dedup_lines(df, wide=True).collect()}
+    got = {r.doc_id: r.text for r in dedup_lines(df).collect()}
     assert [got[2 * i] for i in range(len(pairs))] == [a for a, _ in pairs]
     assert not any(got[2 * i + 1] for i in range(len(pairs)))
 
