@@ -241,7 +241,7 @@ def pairs_of(met: DataFrame) -> DataFrame:
 
 
 def rest(met: DataFrame, roots: DataFrame, radii: list[int], share: float, name: str) -> DataFrame:
-    """(u, v): close pairs of cells left open whose ends have different roots (node, root).
+    """(u, v): close pairs of cells left open whose ends have different roots (node, root). radii ascend.
 
     In each cell the nodes outside its most frequent root are paired with all others, so a cell
     whose nodes are connected gives none, and one with few strays gives few for each.
@@ -250,11 +250,14 @@ def rest(met: DataFrame, roots: DataFrame, radii: list[int], share: float, name:
     named = stage(opened.join(roots, "node", "left").select("cell", "node", "fp", "size", F.coalesce("root", "node").alias("root")), name)
     main = named.groupBy("cell", "root").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(main.select("cell", "main"), "cell")
-    strays = named.where("root != main").select("cell", F.col("node").alias("x"), F.col("fp").alias("fx"), F.col("root").alias("rx"), F.col("size").alias("sx"))
+    # class first: of the cells that two nodes share, the one of most bits decides, once
+    named = named.withColumn("turn", F.shiftleft(F.col("cell").bitwiseAND(F.lit(3)), 60) + F.shiftrightunsigned("cell", 4))
+    named = named.join(named.groupBy("node").agg(F.collect_set("turn").alias("turns")), "node")  # as many as a node has keys
+    strays = named.where("root != main").select("cell", F.col("node").alias("x"), F.col("fp").alias("fx"), F.col("root").alias("rx"), F.col("size").alias("sx"), F.col("turns").alias("tx"))
     radius = F.element_at(F.array(*[F.lit(r) for r in [*radii, *[64] * (4 - len(radii))]]), (F.col("cell").bitwiseAND(F.lit(3)) + 1).cast("int"))
     near = (F.bit_count(F.col("fx").bitwiseXOR(F.col("fp"))) <= radius) & (F.least("sx", "size") >= share * F.greatest("sx", "size") - 1e-9)
     once = (F.col("root") == F.col("main")) | (F.col("x") < F.col("node"))  # two strays meet twice
-    return strays.join(named, "cell").where((F.col("rx") != F.col("root")) & once & near).select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
+    return strays.join(named, "cell").where((F.col("rx") != F.col("root")) & once & near & (F.array_max(F.array_intersect("tx", "turns")) == F.col("turn"))).select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
 def verified(met: DataFrame, check, radii: list[int], share: float, name: str) -> DataFrame:
@@ -266,4 +269,12 @@ def verified(met: DataFrame, check, radii: list[int], share: float, name: str) -
     comp = stage(components(first, name), f"{name}_components")
     more = stage(rest(met, comp, radii, share, f"{name}_open"), f"{name}_rest")
     second = stage(check(more.join(pairs_of(met), ["u", "v"], "left_anti")), f"{name}_more")
-    return comp if second.isEmpty() else components(first.unionByName(second), name)
+    if second.isEmpty():
+        return comp
+    # components of the components found first
+    u, v = (comp.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("u", "v"))
+    joined = stage(second.join(u, "u", "left").join(v, "v", "left").select("u", "v", F.coalesce("ru", "u").alias("ru"), F.coalesce("rv", "v").alias("rv")), f"{name}_joined")
+    upper = components(joined.select(F.col("ru").alias("u"), F.col("rv").alias("v")), name)
+    upper = stage(upper.select(F.col("node").alias("root"), F.col("root").alias("top")), f"{name}_upper")
+    new = joined.select(F.col("u").alias("node"), F.col("ru").alias("root")).unionByName(joined.select(F.col("v").alias("node"), F.col("rv").alias("root"))).where("node = root")
+    return comp.unionByName(new).distinct().join(upper, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
