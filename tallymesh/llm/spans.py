@@ -7,8 +7,9 @@ travels as one packed string to the bucket of its minimiser, where sorting count
 Two facts keep this small and even at any size. A window can only repeat if its minimiser
 occurs twice, so minimisers are counted first and only repeated ones travel (a Bloom filter of
 bounded size pre-filters; a false positive costs a row, never a result). And a minimiser that
-occurs very often is never gathered: its windows are counted one by one, each task sends a
-window once, and the counts come back through a join that Spark may split.
+occurs more than HOT times is never gathered, at any size of the input: its windows are counted
+one by one, each task sends a window once, and the counts come back through a join that Spark
+may split.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from .common import GRAM_A, GRAM_B, Words, chunks, grams, mix, partitions, stage
 
 GRAM = 8
 BLOOM_BITS = 28  # at most 2**28 bits (32 MB) are broadcast
-HOT = 1024  # occurrences from which a minimiser's windows are counted one by one
-HOT_LIST = 5000  # at most so many minimisers are hot; the limit rises with the input instead
+HOT = 2048  # occurrences beyond which a minimiser's windows are counted one by one; others are gathered in one task
+HOT_BITS = 26  # at most 2**26 bits (8 MB) say which are; what they let through besides is counted one by one, too
 PIECE = 256  # windows in one packed string
 UNIT_BYTES = 6 << 20
 SEEN = 500_000
@@ -93,13 +94,19 @@ def _count(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _slots(mini: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    mini = mix(mini)  # minimisers are small numbers
     mask = np.uint64((1 << (bits - 4)) - 1)
     return (mini >> np.uint64(60)).astype(np.int64), (mini & mask).astype(np.int64), ((mini >> np.uint64(24)) & mask).astype(np.int64)
 
 
-def bloom_filter(repeated: DataFrame, count: int) -> tuple[int, np.ndarray]:
+def bloom_filter(repeated: DataFrame, count: int, most: int = BLOOM_BITS) -> tuple[int, np.ndarray]:
     """A bit per slot, as (segments, bytes); each segment is built by one task."""
-    bits = int(np.clip(int(16 * max(count, 1)).bit_length(), 16, BLOOM_BITS))
+    bits = int(np.clip(int(16 * max(count, 1)).bit_length(), 16, most))
+
+    def deal(batches):
+        for b in batches:
+            mini = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_slots(mini, bits)[0])], ["mini", "segment"])
 
     def run(batches):
         made: dict[int, np.ndarray] = {}
@@ -111,7 +118,7 @@ def bloom_filter(repeated: DataFrame, count: int) -> tuple[int, np.ndarray]:
         for s, on in made.items():
             yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([np.packbits(on).tobytes()], pa.binary())], ["segment", "bits"])
 
-    dealt = repeated.select("mini").repartition(_SEGMENTS, F.shiftrightunsigned("mini", 60))
+    dealt = repeated.select("mini").mapInArrow(deal, "mini long, segment long").repartition(_SEGMENTS, "segment").select("mini")
     out = np.zeros((_SEGMENTS, 1 << (bits - 7)), np.uint8)
     for s, raw in dealt.mapInArrow(run, "segment long, bits binary").collect():
         out[s] = np.frombuffer(raw, np.uint8)
@@ -151,7 +158,7 @@ def _cold(docs: DataFrame, k: int, bits: int, bloom, hot) -> DataFrame:
     def send(batches):
         filled, often = bloom.value, hot.value
         for ids, ths, r in _batches(batches, k):
-            keep = np.flatnonzero(in_bloom(r.mini, bits, filled) & ~np.isin(r.mini, often))
+            keep = np.flatnonzero(in_bloom(r.mini, bits, filled) & ~in_bloom(r.mini, *often))
             w, raw = r.words, r.words.data.tobytes()
             at = r.at[keep]
             lo, hi = w.starts[at].tolist(), w.ends[at + r.n[keep] + k - 2].tolist()
@@ -215,7 +222,7 @@ def _often(docs: DataFrame, k: int, hot) -> DataFrame:
     def send(batches):
         often, seen = hot.value, {}
         for ids, ths, r in _batches(batches, k):
-            runs = np.flatnonzero(np.isin(r.mini, often))
+            runs = np.flatnonzero(in_bloom(r.mini, *often))
             if not len(runs):
                 continue
             n = r.n[runs]
@@ -260,13 +267,11 @@ def repeated_windows(docs: DataFrame, k: int = 35) -> DataFrame:
     """(doc_id, th, start, n): runs of windows of docs (doc_id, th, text) that start elsewhere too."""
     sc = docs.sparkSession.sparkContext
     repeated = stage(_count(docs, k), "minimisers")
-    count, total = repeated.agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    limit = max(HOT, total // HOT_LIST)
-    often = np.array([x[0] for x in repeated.where(F.col("w") > limit).select("mini").collect()], np.int64).view(np.uint64)
+    count, often = repeated.agg(F.count("*"), F.count_if(F.col("w") > HOT)).first()
     bits, filled = bloom_filter(repeated, count)
-    bloom, hot = sc.broadcast(filled), sc.broadcast(often)
+    bloom, hot = sc.broadcast(filled), sc.broadcast(bloom_filter(repeated.where(F.col("w") > HOT), often, HOT_BITS))
     found = _cold(docs, k, bits, bloom, hot)
-    return found.unionByName(_often(docs, k, hot)) if len(often) else found
+    return found.unionByName(_often(docs, k, hot)) if often else found
 
 
 def remove_repeats(documents: DataFrame, window: int = 35) -> DataFrame:

@@ -138,7 +138,6 @@ def test_spans(spark, monkeypatch, k, hot):
 
     if hot is not None:
         monkeypatch.setattr(op, "HOT", hot)
-        monkeypatch.setattr(op, "HOT_LIST", 1 << 40)
     for df in both(spark):
         got = sorted(repr(tuple(r)) for r in op.remove_repeats(df, k).select("doc_id", "n_words", "n_removed", "kept_sha256").collect())
         assert got == spans(texts(df), k)
