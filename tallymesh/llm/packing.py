@@ -1,8 +1,8 @@
 """Cost-balanced packing of documents into training sequences.
 
 A document of n tokens costs n + n*n/capacity (linear layers plus attention). Documents go in
-descending order of length to the sequence of least cost that has token capacity left; what
-does not fit is cut and goes on in the next. Packing runs inside each input partition, over
+descending order of length to the sequence of least cost that has room for them; what fits in
+none is cut, its first part fills the sequence with most room. Packing runs inside each input partition, over
 groups of bounded size, so nothing is shuffled and no group grows with the corpus. A group's
 remainder is split into sequences whose sizes are powers of two, which need no padding.
 """
@@ -10,7 +10,6 @@ remainder is split into sequences whose sizes are powers of two, which need no p
 from __future__ import annotations
 
 import functools
-import heapq
 import json
 import os
 import struct
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 GROUP_TOKENS = 4 << 20
 CACHE_WORDS = 1_000_000
-_LOOK = 8
 
 
 #: Bytes as letters (a), commas and full stops (,), white space, bytes that may be no letters (!), others (#).
@@ -64,7 +62,9 @@ class CachedTokenizer:
     encodes independently of each other; a bounded cache from piece to packed ids.
 
     A word of letters with marks at its end is looked up as two pieces: this family of
-    tokenizers splits letters from marks before any merge. The cache has two generations, so
+    tokenizers splits letters from marks before any merge. Only words that stay letters in
+    lower case are cut so; others may end in a combining mark that joins the marks after it.
+    The cache has two generations, so
     that words met once make room for those that come back.
     """
 
@@ -84,7 +84,7 @@ class CachedTokenizer:
     def _encode(self, words: list[str]) -> list[bytes]:
         """Packed ids of each word; words of letters are encoded many at a time."""
         out: dict[str, bytes] = {}
-        plain = [w for w in words if w.isalpha()] if self.apart else []
+        plain = [w for w in words if w.isalpha() and w.lower().isalpha()] if self.apart else []
         groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
         size = self.unit.itemsize
         for group, e in zip(groups, self.model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
@@ -106,7 +106,7 @@ class CachedTokenizer:
                 continue
             word = p.decode()
             core = word.rstrip(_TAIL) if self.apart else word
-            if len(core) < len(word) and core.isalpha():
+            if len(core) < len(word) and core.isalpha() and core.lower().isalpha():
                 parts = core.encode(), word[len(core) :].encode()
                 joined.append((p, parts))
                 for x in parts:
@@ -144,29 +144,16 @@ def assign(lengths: np.ndarray, capacity: int = 2048) -> list[tuple[int, int, in
     sizes = [capacity] * (total // capacity)
     rest = total % capacity
     sizes += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-    room, out = list(sizes), []
-    heap = [(0.0, s) for s in range(len(sizes))]  # a sorted list is a heap
-
-    def put(doc: int, start: int, n: int, cost: float, s: int) -> None:
-        out.append((doc, start, n, s, sizes[s] - room[s]))
-        room[s] -= n
-        if room[s]:
-            heapq.heappush(heap, (cost + n + n * n / capacity, s))
-
+    room, cost, out = np.array(sizes, np.int64), np.zeros(len(sizes)), []
     for doc in np.argsort(-lengths, kind="stable").tolist():
         start, left = 0, int(lengths[doc])
         while left:
-            seen = []
-            while heap and len(seen) < _LOOK:
-                seen.append(heapq.heappop(heap))
-                if room[seen[-1][1]] >= left:
-                    break
-            k = len(seen) - 1 if room[seen[-1][1]] >= left else 0
-            cost, s = seen.pop(k)
-            for x in seen:
-                heapq.heappush(heap, x)
-            n = min(left, room[s])
-            put(doc, start, n, cost, s)
+            fits = room >= left
+            s = int(np.where(fits, cost, np.inf).argmin() if fits.any() else room.argmax())
+            n = min(left, int(room[s]))
+            out.append((doc, start, n, s, sizes[s] - int(room[s])))
+            room[s] -= n
+            cost[s] += n + n * n / capacity
             start, left = start + n, left - n
     return out
 
