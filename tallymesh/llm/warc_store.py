@@ -40,13 +40,16 @@ def _describe(pages: DataFrame, with_payload: bool) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, schema)
 
 
-def header(kind: str, page_id, url: str, sha1: str, n: int, refers: str | None) -> bytes:
+def record_id(row, page_id) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row}\n{page_id}')}>"
+
+
+def header(kind: str, row, page_id, url: str, sha1: str, n: int, refers: tuple | None) -> bytes:
     """The exact header block of one WARC/1.1 record."""
     clean = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    own = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}\n{clean}")
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{own}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha1:{sha1}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(row, page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha1:{sha1}"]
     if refers is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(*refers)}", f"X-Refers-To-Page: {'' if refers[1] is None else refers[1]}"]
     lines += ["Content-Type: text/html; charset=utf-8", f"X-Payload-Length: {n}", f"Content-Length: {n if refers is None else 0}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n"
 
@@ -68,19 +71,20 @@ def write(pages: DataFrame, least: int = 0) -> tuple[DataFrame, DataFrame]:
     first = marked.groupBy("digest").agg(F.min(order).alias("first"))
     joined = marked.join(first, "digest")
     revisit = (F.col("n") >= least) & (F.col("row") != F.col("first.row"))
-    plain = joined.select("page_id", "url", "digest", "sha1", "n", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("kind"), F.when(revisit, F.col("first.page_id")).alias("refers"))
+    plain = joined.select("row", "page_id", "url", "digest", "sha1", "n", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("kind"), F.col("first.page_id").alias("refers"), F.col("first.row").alias("refers_row"))
 
     def heads(batches):
         for b in batches:
             r = b.to_pydict()
             # a revisit of a null id still names it: the empty string
-            head = [header(k, p, u, s, n, ("" if f is None else str(f)) if k == "revisit" else None) for p, u, s, n, k, f in zip(r["page_id"], r["url"], r["sha1"], r["n"], r["kind"], r["refers"], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(head, pa.binary())], ["page_id", "digest", "header"])
+            cols = (r[c] for c in ("row", "page_id", "url", "sha1", "n", "kind", "refers", "refers_row"))
+            head = [header(k, i, p, u, s, n, (at, f) if k == "revisit" else None) for i, p, u, s, n, k, f, at in zip(*cols, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(3), pa.array(head, pa.binary())], ["page_id", "digest", "header"])
 
     records = stage(plain.mapInArrow(heads, "page_id long, digest binary, header binary"), "records")
     keep = first.select(F.col("first.page_id").alias("page_id"), F.col("digest").alias("want"))
     bodies = _describe(pages, True)
-    stored = bodies.join(keep, bodies.page_id.eqNullSafe(keep.page_id) & (bodies.digest == keep.want), "left_semi").select("digest", "body")
+    stored = bodies.join(keep, bodies.page_id.eqNullSafe(keep.page_id) & (bodies.digest == keep.want), "left_semi").select("digest", "body").dropDuplicates(["digest"])  # repeated rows
     payloads = stage(stored, "payloads", "none")
     return records, payloads
 
