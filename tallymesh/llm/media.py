@@ -39,32 +39,43 @@ def write_png(pixels: np.ndarray, row_filter: int = 0, level: int = 1) -> bytes:
     return _SIGN + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), level)) + _chunk(b"IEND", b"")
 
 
+def _diagonals(kinds: np.ndarray, rows: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Consecutive rows with the average (3) or Paeth (4) filter undone.
+
+    A sample needs those to its left, above and above left, so the samples of one diagonal are
+    independent of each other and are done at once.
+    """
+    m, w = rows.shape
+    out = np.zeros((m + 1, w + 1), np.int64)  # a row above, a column of zeros before
+    out[0, 1:] = above
+    for t in range(m + w - 1):
+        r = np.arange(max(0, t - w + 1), min(m, t + 1))
+        c = t - r
+        left, up, corner = out[r + 1, c], out[r, c + 1], out[r, c]
+        base = left + up - corner
+        x, y, z = np.abs(base - left), np.abs(base - up), np.abs(base - corner)
+        nearest = np.where((x <= y) & (x <= z), left, np.where(y <= z, up, corner))
+        out[r + 1, c + 1] = (rows[r, c] + np.where(kinds[r] == 3, (left + up) >> 1, nearest)) & 255
+    return out[1:, 1:].astype(np.uint8)
+
+
 def _unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
     if not kinds.any():
         return rows
+    if kinds.max() > 4:
+        raise ValueError(f"PNG: unknown row filter {kinds.max()}")
     out = np.zeros_like(rows)
     above = np.zeros(rows.shape[1], np.uint8)
-    for i, kind in enumerate(kinds.tolist()):
-        row = rows[i]
-        if kind == 1:
-            row = np.cumsum(row, dtype=np.uint8)
-        elif kind == 2:
-            row = row + above
-        elif kind == 3 or kind == 4:
-            row = row.copy()
-            left = corner = 0
-            for x in range(len(row)):
-                up = int(above[x])
-                if kind == 3:
-                    guess = (left + up) // 2
-                else:
-                    base = left + up - corner
-                    guess = min((left, up, corner), key=lambda v: abs(base - v))
-                left, corner = (int(row[x]) + guess) & 255, up
-                row[x] = left
-        elif kind:
-            raise ValueError(f"PNG: unknown row filter {kind}")
-        out[i] = above = row
+    i = 0
+    while i < len(rows):
+        kind, to = int(kinds[i]), i + 1
+        if kind > 2:
+            while to < len(rows) and kinds[to] > 2:
+                to += 1
+            out[i:to] = _diagonals(kinds[i:to], rows[i:to], above)
+        else:
+            out[i] = np.cumsum(rows[i], dtype=np.uint8) if kind == 1 else rows[i] + above if kind == 2 else rows[i]
+        above, i = out[to - 1], to
     return out
 
 
