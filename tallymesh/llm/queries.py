@@ -106,4 +106,28 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM b
 """
 
-ORACLES = {"op2_url_rules": _OP2, "op8_warc": _OP8}
+_OP5 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+win AS (SELECT t.id, t.p, array_to_string(d.w[t.p : t.p + 34], ' ') AS win FROM t JOIN d USING (id) WHERE t.p <= len(d.w) - 34),
+twice AS (SELECT win FROM win GROUP BY win HAVING count(*) > 1),
+hit AS (SELECT id, p FROM win SEMI JOIN twice USING (win)),
+gone AS (SELECT t.id, t.p, t.word, max(hit.p) OVER (PARTITION BY t.id ORDER BY t.p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM t LEFT JOIN hit ON t.id = hit.id AND t.p = hit.p),
+per AS (SELECT id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM gone GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN per USING (id)
+"""
+
+_OP7 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+spot AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM b WHERE len(w) > 0),
+item AS (SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS win FROM spot),
+place AS (SELECT d.id, s.n, unnest(range(1, len(d.w) - s.n + 2)) AS p FROM d, (SELECT DISTINCT n FROM item) s WHERE len(d.w) >= s.n),
+hit AS (SELECT place.id, place.p, place.n, item.item_id FROM place JOIN d USING (id) JOIN item ON item.n = place.n AND item.win = array_to_string(d.w[place.p : place.p + place.n - 1], ' ')),
+word AS (SELECT id, count(DISTINCT q) AS n_hit FROM (SELECT id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY id),
+named AS (SELECT id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (id) LEFT JOIN named USING (id)
+"""
+
+ORACLES = {"op2_url_rules": _OP2, "op5_spans": _OP5, "op7_decontaminate": _OP7, "op8_warc": _OP8}

@@ -76,6 +76,10 @@ def test_main_text_of_the_table(spark):
     ("<article><p>one<div class='cookie-notice'>c</div><section id=comments><article><p>reader</p></article></section><p>two</article><div class=sidebar>s</div>", "one\ntwo"),
     ("<div class=menu><ul><li><a href=x>m</a></ul></div><div><p>text <a href=y>link</a> more</div><script>if (a<b) '</p>'</script>", "text link more"),
     ("<article><p>1 < 2 <b>bold<br>next</article>", "1 < 2 bold next"), ("<nav>never closed <article><p>kept", "kept"), ("<p>x<!-- <p>no --> y", "x y"), ("<a <b> \"' <p title='a>b'>q", "\"'\nq"),
+    ("<main><p>Body text here.</p></main><aside class='related'><article><h3>Teaser</h3></article></aside>", "Body text here."),
+    ("<footer><div class='post content'>foot</div></footer><p>body text</p>", "body text"),
+    ("<article><h2 id='related-work'>Related work</h2><p>Para one.</p><p id='search'>Para two.</p><div id='banner-history'>Three.</div><section id='menu-of-day'><p>Four.</p></section></article>", "Related work\nPara one.\nPara two.\nThree.\nFour."),
+    ("<article><p>a</p><div id='related-posts'>r</div><div class='site-footer'>f</div><div id='comments'><p>c</p></div></article>", "a"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc\nd"),
 ])
 def test_main_text_of_odd_pages(page, want):
@@ -95,6 +99,62 @@ def test_template_text_goes(spark):
     assert extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+PROSE = "A sentence of page {i} number {j} that no other page has, long enough to be prose."
+
+
+def layouts():
+    """Pages of one host in two layouts, neither with an article element nor with names that tell, and what is their text."""
+    pages, want = [], {}
+    for i in range(24):
+        own = [PROSE.format(i=i, j=j) for j in range(1 + i % 4)]
+        body = f"<h1>Title {i}</h1>" + "".join(f"<p>{x}</p>" for x in own)
+        teaser = f"<p>Today {i}</p><p>seen {i * 7} times</p>"
+        notice = "<div class=k9><p>This site wants your consent to many things that are long to say and said on each page again and again.</p></div>"
+        if i % 2:  # without headlines; one page's teaser is longer than its text
+            body = body.replace("h1>", "p>")
+            teaser = f"<p>{' '.join(f'teaser {i} {j} of other pages' for j in range(40))}</p>" if i == 5 else teaser
+            pages.append((i, "http://two.org/a", f"<body><div class=x1>{notice}<div class=x2>{body}</div><div class=x3>{teaser}</div></div></body>"))
+        else:
+            pages.append((i, "http://two.org/b", f"<body><table><tr><td>{teaser}</td></tr></table><div><div>{body}<p>All rights with the two writers of this place.</p></div></div><div>{teaser}</div></body>"))
+        want[i] = "\n".join([f"Title {i}", *own])
+    return pages, want
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_templates_of_two_layouts(spark, monkeypatch, most):
+    from tallymesh.llm import templates
+
+    monkeypatch.setattr(templates, "BROADCAST_TOKENS", most)
+    pages, want = layouts()
+    df = spark.createDataFrame(pages + pages[:5], PAGES)
+    assert {r.page_id: r.text for r in templates.extract(df).collect()} == want
+
+
+def test_classes_decide(spark, monkeypatch):
+    """Without template classes, or without the containers' shares, other text comes out."""
+    from tallymesh.llm import templates
+
+    pages, want = layouts()
+    df = spark.createDataFrame(pages, PAGES)
+    whole = templates.deduce
+    monkeypatch.setattr(templates, "deduce", lambda tokens: whole(tokens).limit(0))
+    got = {r.page_id: r.text for r in templates.extract(df).collect()}
+    assert all("All rights" in got[i] for i in range(0, 24, 2))
+    monkeypatch.setattr(templates, "deduce", whole)
+    shares = templates._containers
+    monkeypatch.setattr(templates, "_containers", lambda *a: shares(*a).limit(0))
+    alone = {r.page_id: r.text for r in templates.extract(df).collect()}
+    assert [i for i in want if alone[i] != want[i]] == [5]
+
+
+def test_copies_are_no_template(spark):
+    from tallymesh.llm.templates import extract
+
+    body = "<article><h1>One story</h1><p>Told on every page of this host.</p></article>"
+    pages = [(i, "http://copy.org/", f"<div class=ad>ad {i}</div>{body}") for i in range(6)]
+    assert {r.text for r in extract(spark.createDataFrame(pages, PAGES)).collect()} == {"One story\nTold on every page of this host."}
+
+
 # ---------------------------------------------------------------- archive
 
 
@@ -107,7 +167,7 @@ def test_archive(spark, least):
         source = [(r.page_id, (r.html or "").encode()) for r in df.collect()]
         records, payloads = warc_store.write(df, least)
         records.persist(), payloads.persist()
-        assert payloads.count() == len({p for _, p in source})
+        assert payloads.count() == payloads.select("digest").distinct().count() == len({p for _, p in source})
         got = warc_store.index(records, payloads).collect()
         first = {}
         for i, p in source:
@@ -124,6 +184,13 @@ def test_archive(spark, least):
         for r in back:
             head, body = bytes(r.record).split(b"\r\n\r\n", 1)
             assert body == (b"" if b"Type: revisit" in head else bytes(r.payload)) + b"\r\n\r\n"
+        heads = [warc_store.fields(bytes(r.record).split(b"\r\n\r\n", 1)[0]) for r in back]
+        named = {h["WARC-Record-ID"]: h for h in heads}
+        assert len(named) == len(heads)
+        for h in heads:
+            if h["WARC-Type"] == "revisit":
+                first = named[h["WARC-Refers-To"]]
+                assert first["WARC-Type"] == "response" and first["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
 
 
 def test_damaged_payload_is_found(spark):
@@ -212,6 +279,34 @@ def test_packing(spark):
             assert at == 2048 or at & (at - 1) == 0
 
 
+def test_cached_ids_are_the_tokenizers():
+    """Random texts of letters, combining marks and signs, among them letters whose lower case is no letter alone."""
+    from tokenizers import Tokenizer
+
+    from tallymesh.llm.packing import CachedTokenizer
+    from tallymesh.llm.queries import tokenizer_path
+
+    model, own = Tokenizer.from_file(tokenizer_path()), CachedTokenizer(tokenizer_path())
+    rng = np.random.default_rng(2)
+    signs = [*"aAbZéÉßİıǅŉÅçñ漢字кЖ0129", "\u0301", "\u0307", "\u0308", "\u200d", "\u00a0", "\u3000", *" \n\t  ", *".,!?;:*$%&#'\"-()<|>", "ﬁ", "ª", "ͅ", "🙂"]
+    texts = ["İ,", "Tatİ.", "KADİ.", "İ É, x.,", "a,b. c! d.", "it's. i'm, a.b", *("".join(rng.choice(signs, rng.integers(1, 40))) for _ in range(20_000))]
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        got = [x.tolist() for x in own.ids([t.encode() for t in part])]
+        assert got == [e.ids for e in model.encode_batch(part, add_special_tokens=False)]
+
+
+def test_few_documents_are_cut():
+    from tallymesh.llm.packing import assign
+
+    rng = np.random.default_rng(4)
+    n = np.minimum(np.maximum(rng.lognormal(5.5, 1, 9000), 1).astype(int), 20_000)
+    pieces = collections.Counter(doc for doc, *_ in assign(n, 2048))
+    cut = sum(pieces[d] > 1 for d in np.flatnonzero(n <= 2048).tolist())
+    assert cut < 0.08 * (n <= 2048).sum()
+    assert assign(np.zeros(0, np.int64)) == [] and assign(np.array([5000]), 2048) == [(0, 0, 2048, 0, 0), (0, 2048, 2048, 1, 0), (0, 4096, 512, 2, 0), (0, 4608, 256, 3, 0), (0, 4864, 128, 4, 0), (0, 4992, 8, 5, 0)]
+
+
 def test_cost_balance():
     from tallymesh.llm.packing import assign
 
