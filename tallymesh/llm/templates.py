@@ -398,7 +398,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     host, _ = host_path(F.col("url"))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
-    parsed = stage(_parsed(base.withColumn("row", F.monotonically_increasing_id())), "parsed")
+    parsed = stage(_parsed(base.withColumn("row", F.monotonically_increasing_id())), "parsed", "zstd")
     tokens = _tokens(parsed)
     given, held = _given(parsed, tokens, deduce(tokens).withColumn("value", F.lit(1.0)), "templates")
     shared, parts = _given(given.withColumnsRenamed({"ks": "tk", "vs": "tv"}), tokens, _containers(given, held), "containers")
