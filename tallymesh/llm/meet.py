@@ -1,9 +1,8 @@
 """Fingerprints that share a key are compared: the join behind SimHash links and line links.
 
-A row is (key, node, fp, size): node is met under key and carries the 64-bit fingerprint fp and
-a size; two nodes are close when their fingerprints differ in few bits and the smaller size is
-at least a given share of the larger. Rows
-travel packed, many to a binary value, dealt by a range of keys (a segment); a task sorts one
+A row is (key, node, fp, more, size): node is met under key and carries a fingerprint of 64 bits,
+or of 128 with more, and a size; two nodes are close when their fingerprints differ in few bits
+and the smaller size is at least a given share of the larger. Rows travel packed, many to a binary value, dealt by a range of keys (a segment); a task sorts one
 segment at a time, so its memory does not follow the input. The two low bits of a key are its
 class, which says how many bits of difference still make a candidate.
 
@@ -30,9 +29,9 @@ BLOCK = 2048  # nodes of a block of a hot key
 RATE = 16  # hot keys are looked for on one node in so many
 HOT_LIST = 1_000_000  # hot keys that are sent to all tasks, the hottest (12 MB); others stay in one task
 SEGMENT_ROWS = 1 << 20
-PACK = 640  # rows of one binary value, 18 KB
+PACK = 640  # rows of one binary value, 23 KB
 FEW = 8  # nodes of a key up to which all its pairs are candidates
-ROW = np.dtype([("key", "<u8"), ("node", "<i8"), ("fp", "<u8"), ("size", "<u4")])
+ROW = np.dtype([("key", "<u8"), ("node", "<i8"), ("fp", "<u8"), ("more", "<u8"), ("size", "<u4")])
 _CLASS, _REST = np.uint64(3), np.uint64(0xFFFFFFFFFFFFFFFC)
 
 
@@ -42,24 +41,26 @@ def flips(bits: list[int], t: int) -> np.ndarray:
 
 
 def _rows(batch, probes) -> np.ndarray:
-    """The ROWs of an Arrow batch (node, fp, size, keys): its keys, and those of the probes (bits, flipped)."""
+    """The ROWs of an Arrow batch (node, fp, more, size, keys): its keys, and those of the probes (bits, flipped)."""
     node = batch.column(0).to_numpy(zero_copy_only=False)
     fp = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-    size = batch.column(2).to_numpy(zero_copy_only=False)
-    keys = batch.column(3)
+    more = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+    size = batch.column(3).to_numpy(zero_copy_only=False)
+    keys = batch.column(4)
     if isinstance(keys, pa.ChunkedArray):
         keys = keys.combine_chunks()
     n = keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     own = keys.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     masks = [(part, np.uint64(sum(1 << (63 - x) for x in bits)), flips(bits, t)) for part, (bits, t) in enumerate(probes)]
     out = np.empty(len(own) + len(node) * sum(len(m) for _, _, m in masks), ROW)
-    for name, x in (("key", own), ("node", np.repeat(node, n)), ("fp", np.repeat(fp, n)), ("size", np.repeat(size, n))):
+    for name, x in (("key", own), ("node", np.repeat(node, n)), ("fp", np.repeat(fp, n)), ("more", np.repeat(more, n)), ("size", np.repeat(size, n))):
         out[name][: len(own)] = x
     at = len(own)
     for part, bits, many in masks:
         for mask in many:
             to = slice(at, at + len(node))
-            out["key"][to], out["node"][to], out["fp"][to], out["size"][to] = mix(((fp & bits) ^ mask) + np.uint64(part)) & _REST, node, fp, size
+            out["key"][to] = mix(((fp & bits) ^ mask) + np.uint64(part)) & _REST
+            out["node"][to], out["fp"][to], out["more"][to], out["size"][to] = node, fp, more, size
             at += len(node)
     return out
 
@@ -111,12 +112,12 @@ def _packed(a: np.ndarray, segments: int):
     return pa.RecordBatch.from_arrays([pa.array(seg[start]), pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, off, pa.py_buffer(a.tobytes())])], ["segment", "rows"])
 
 
-def _close(fp: np.ndarray, size: np.ndarray, i, j, radius, share: float) -> np.ndarray:
+def _close(fp: np.ndarray, more: np.ndarray, size: np.ndarray, i, j, radius, share: float) -> np.ndarray:
     x, y = size[i], size[j]
-    return (np.bitwise_count(fp[i] ^ fp[j]) <= radius) & (np.minimum(x, y) >= share * np.maximum(x, y) - 1e-9)
+    return (np.bitwise_count(fp[i] ^ fp[j]) + np.bitwise_count(more[i] ^ more[j]) <= radius) & (np.minimum(x, y) >= share * np.maximum(x, y) - 1e-9)
 
 
-def _forest(fp: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _forest(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(u, v) positions of a spanning forest of the close pairs, and each position's tree.
 
     Trees grow from the nodes nearest to what most of the bits say: in a group of variants of
@@ -130,7 +131,7 @@ def _forest(fp: np.ndarray, size: np.ndarray, radius: int, share: float) -> tupl
             t += 1
             front, left = left[:1], left[1:]
             tree[front] = t
-        near = _close(fp, size, left, front[0], radius, share)
+        near = _close(fp, more, size, left, front[0], radius, share)
         new = left[near]
         u.append(np.full(len(new), front[0])), v.append(new)
         tree[new] = t
@@ -138,24 +139,24 @@ def _forest(fp: np.ndarray, size: np.ndarray, radius: int, share: float) -> tupl
     return np.concatenate(u), np.concatenate(v), tree
 
 
-def _every(fp: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
     us, vs = [], []
     at = np.arange(len(fp))
     for i in range(0, len(fp), 256):
-        near = _close(fp, size, at[i : i + 256, None], at[None, :], radius, share)
+        near = _close(fp, more, size, at[i : i + 256, None], at[None, :], radius, share)
         u, v = np.nonzero(near & (at[None, :] > at[i : i + 256, None]))
         us.append(u + i), vs.append(v)
     return np.concatenate(us), np.concatenate(vs)
 
 
 def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
-    """Candidates among the rows of one segment, as a batch (u, v, cell, fp, size)."""
+    """Candidates among the rows of one segment, as a batch (u, v, cell, fp, more, size)."""
     a = a[np.lexsort((a["node"], a["key"]))]
-    key, node, fp, big = (np.ascontiguousarray(a[x]) for x in ("key", "node", "fp", "size"))
+    key, node, fp, more, big = (np.ascontiguousarray(a[x]) for x in ("key", "node", "fp", "more", "size"))
     new = np.ones(len(a), bool)
     new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])  # a node may come twice
     if not new.all():
-        key, node, fp, big = key[new], node[new], fp[new], big[new]
+        key, node, fp, more, big = key[new], node[new], fp[new], more[new], big[new]
     start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     size = np.diff(np.append(start, len(key)))
     radius = radii[(key & _CLASS).astype(np.int64)]
@@ -163,10 +164,10 @@ def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
     us, vs, cells, members = [], [], [], []
     for lag in range(1, min(FEW, len(key))):
         i = np.flatnonzero((key[lag:] == key[:-lag]) & few[lag:])
-        i = i[_close(fp, big, i, i + lag, radius[i], share)]
+        i = i[_close(fp, more, big, i, i + lag, radius[i], share)]
         us.append(i), vs.append(i + lag)
     for i, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
-        own = fp[i : i + n], big[i : i + n], int(radius[i]), share
+        own = fp[i : i + n], more[i : i + n], big[i : i + n], int(radius[i]), share
         if every:
             u, v = _every(*own)
         else:
@@ -180,12 +181,12 @@ def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
     cell = np.concatenate([none.view(np.uint64), *cells]).view(np.int64)
     x, y = node[u], node[v]
     empty = pa.nulls(len(u), pa.int64())
-    two = [(pa.array(np.minimum(x, y)), pa.array(node[m])), (pa.array(np.maximum(x, y)), pa.nulls(len(m), pa.int64())), (empty, pa.array(cell)), (empty, pa.array(fp[m].view(np.int64))), (empty, pa.array(big[m].astype(np.int64)))]
-    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in two], ["u", "v", "cell", "fp", "size"])
+    two = [(pa.array(np.minimum(x, y)), pa.array(node[m])), (pa.array(np.maximum(x, y)), pa.nulls(len(m), pa.int64())), (empty, pa.array(cell)), (empty, pa.array(fp[m].view(np.int64))), (empty, pa.array(more[m].view(np.int64))), (empty, pa.array(big[m].astype(np.int64)))]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in two], ["u", "v", "cell", "fp", "more", "size"])
 
 
 def meetings(rows: DataFrame, radii: list[int], share: float, probes=(), every: bool = False, block: int = BLOCK) -> DataFrame:
-    """(u, v, cell, fp, size) for rows (node, fp, size, keys) whose class-c keys ask for radii[c] bits or fewer.
+    """(u, v, cell, fp, more, size) for rows (node, fp, more, size, keys) whose class-c keys ask for radii[c] bits or fewer.
 
     Rows without cell are pairs u < v of nodes that share a key and are close enough, sizes to
     the given share included: all of them (every), or enough to connect all that are. Those with
@@ -193,13 +194,13 @@ def meetings(rows: DataFrame, radii: list[int], share: float, probes=(), every:
     which the fingerprints themselves are met, in class 0. A node that comes twice counts once.
     """
     spark = rows.sparkSession
-    rows = rows.select("node", "fp", F.col("size").cast("long").alias("size"), "keys")
+    rows = rows.select("node", "fp", "more", F.col("size").cast("long").alias("size"), "keys")
     per = sum(len(flips(bits, t)) for bits, t in probes)
     total = rows.agg(F.coalesce(F.sum(F.size(F.coalesce("keys", F.array().cast("array<long>"))) + per), F.lit(0))).first()[0]
     p = partitions(spark)
     segments = max(4 * p, -(-total // SEGMENT_ROWS))
     held = spark.sparkContext.broadcast(_hot(rows, probes, block))
-    width = np.array([*radii, *[64] * (4 - len(radii))])
+    width = np.array([*radii, *[128] * (4 - len(radii))])
 
     def send(batches):
         some, n = [], 0
@@ -232,7 +233,7 @@ def meetings(rows: DataFrame, radii: list[int], share: float, probes=(), every:
         if some:
             yield _settle(np.concatenate(some), width, share, every)
 
-    return dealt.mapInArrow(receive, "u long, v long, cell long, fp long, size long")
+    return dealt.mapInArrow(receive, "u long, v long, cell long, fp long, more long, size long")
 
 
 def pairs_of(met: DataFrame) -> DataFrame:
@@ -246,16 +247,16 @@ def rest(met: DataFrame, roots: DataFrame, radii: list[int], share: float, name:
     In each cell the nodes outside its most frequent root are paired with all others, so a cell
     whose nodes are connected gives none, and one with few strays gives few for each.
     """
-    opened = met.where("cell is not null").select("cell", F.col("u").alias("node"), "fp", "size")
-    named = stage(opened.join(roots, "node", "left").select("cell", "node", "fp", "size", F.coalesce("root", "node").alias("root")), name)
+    opened = met.where("cell is not null").select("cell", F.col("u").alias("node"), "fp", "more", "size")
+    named = stage(opened.join(roots, "node", "left").select("cell", "node", "fp", "more", "size", F.coalesce("root", "node").alias("root")), name)
     main = named.groupBy("cell", "root").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(main.select("cell", "main"), "cell")
     # class first: of the cells that two nodes share, the one of most bits decides, once
     named = named.withColumn("turn", F.shiftleft(F.col("cell").bitwiseAND(F.lit(3)), 60) + F.shiftrightunsigned("cell", 4))
     named = named.join(named.groupBy("node").agg(F.collect_set("turn").alias("turns")), "node")  # as many as a node has keys
-    strays = named.where("root != main").select("cell", F.col("node").alias("x"), F.col("fp").alias("fx"), F.col("root").alias("rx"), F.col("size").alias("sx"), F.col("turns").alias("tx"))
-    radius = F.element_at(F.array(*[F.lit(r) for r in [*radii, *[64] * (4 - len(radii))]]), (F.col("cell").bitwiseAND(F.lit(3)) + 1).cast("int"))
-    near = (F.bit_count(F.col("fx").bitwiseXOR(F.col("fp"))) <= radius) & (F.least("sx", "size") >= share * F.greatest("sx", "size") - 1e-9)
+    strays = named.where("root != main").select("cell", F.col("node").alias("x"), F.col("fp").alias("fx"), F.col("more").alias("mx"), F.col("root").alias("rx"), F.col("size").alias("sx"), F.col("turns").alias("tx"))
+    radius = F.element_at(F.array(*[F.lit(r) for r in [*radii, *[128] * (4 - len(radii))]]), (F.col("cell").bitwiseAND(F.lit(3)) + 1).cast("int"))
+    near = (F.bit_count(F.col("fx").bitwiseXOR(F.col("fp"))) + F.bit_count(F.col("mx").bitwiseXOR(F.col("more"))) <= radius) & (F.least("sx", "size") >= share * F.greatest("sx", "size") - 1e-9)
     once = (F.col("root") == F.col("main")) | (F.col("x") < F.col("node"))  # two strays meet twice
     return strays.join(named, "cell").where((F.col("rx") != F.col("root")) & once & near & (F.array_max(F.array_intersect("tx", "turns")) == F.col("turn"))).select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 

@@ -154,7 +154,7 @@ def links(fps: DataFrame, tau: int = 2, whole: bool = True, block: int = BLOCK)
     whole=True: enough links to connect all that are linked (a forest per key, linear output);
     whole=False: every linked pair once.
     """
-    rows = fps.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("size"), F.array().cast("array<long>").alias("keys"))
+    rows = fps.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("more"), F.lit(0).alias("size"), F.array().cast("array<long>").alias("keys"))
     return pairs_of(meetings(rows, [tau], 0.0, probes_of(plan(*bit_statistics(fps), tau)), not whole, block))
 
 
@@ -231,7 +231,7 @@ def keep_one(documents: DataFrame, shingle: int = 5, tau: int = 3, least: float
     row = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
     per = stage(sigs.groupBy("node").agg(F.first("fp").alias("fp"), F.min(row).alias("low"), F.first("size").alias("size"), F.first("sketch").alias("keys")), "texts")
     radii = [tau, WIDE]
-    met = stage(meetings(per, radii, least, probes_of(plan(*bit_statistics(per.select("fp")), tau))), "met")
+    met = stage(meetings(per.withColumn("more", F.lit(0).cast("long")), radii, least, probes_of(plan(*bit_statistics(per.select("fp")), tau))), "met")
     nodes = met.select(F.col("u").alias("node")).unionByName(met.where("v is not null").select(F.col("v").alias("node"))).distinct()
     wanted = per.join(nodes, "node").select("node", F.col("low.th").alias("th"))
     texts = stage(base.select("th", "text").join(wanted, "th").dropDuplicates(["node"]).select("node", "text"), "pair_texts")
