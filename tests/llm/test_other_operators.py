@@ -349,6 +349,37 @@ def test_quality_of_odd_tables(spark):
     assert all(r.score == "mine" for r in keep_good(docs, labels.limit(0)).collect())
 
 
+def test_descent_reaches_the_optimum():
+    """Dual coordinate descent against projected gradient steps on the same dual problem."""
+    from tallymesh.llm.quality import descend
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = np.where(x[:, 0] + 0.6 * rng.normal(size=60) > 0, 1, -1)
+    z, cost = np.hstack([x, np.ones((60, 1))]) * y[:, None], 0.7
+    alpha, q = np.zeros(60), z @ z.T
+    step = 1 / np.linalg.norm(q, 2)
+    for _ in range(60_000):
+        alpha = np.clip(alpha - step * (q @ alpha - 1), 0, cost)
+    loss = lambda w: w @ w / 2 + cost * np.maximum(0, 1 - z @ w).sum()
+    w = descend([(np.arange(8), v) for v in x], y, 8, cost, 400)
+    best = loss(z.T @ alpha)
+    assert abs(best - (alpha.sum() - alpha @ q @ alpha / 2)) < 1e-4 * best  # no gap: the optimum
+    assert loss(w) < best * 1.001
+
+
+def test_ratios_by_hand():
+    from tallymesh.llm.quality import ALPHA, BINS, ratios
+
+    bins, y = [np.array([1, 5]), np.array([5]), np.array([1, 9]), np.array([], int)], np.array([1, 1, -1, -1])
+    seen = lambda k, v: sum(k in b for b, c in zip(bins, y, strict=True) if c == v) + ALPHA
+    all_ = {v: sum(len(b) for b, c in zip(bins, y, strict=True) if c == v) + ALPHA * BINS for v in (1, -1)}
+    r = ratios(bins, y)
+    for k in (0, 1, 5, 9):
+        assert r[k] == pytest.approx(np.log(seen(k, 1) / all_[1]) - np.log(seen(k, -1) / all_[-1]))
+
+
 # ---------------------------------------------------------------- lines
 
 

@@ -30,6 +30,26 @@ def test_filters_keep_columns_and_rows(spark, documents):
         assert step(spark, odd.limit(0), SF).count() == 0
 
 
+def test_stages_take_awkward_rows(spark, documents):
+    """Null ids and texts, empty and very long texts, repeated rows, clashing names, one stage after the other."""
+    import corpus_pipeline
+
+    some = documents.limit(3)
+    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
+    row = lambda i, t: [i if c == "doc_id" else t if c == "text" else None for c in documents.columns]
+    odd = [row(None, None), row(None, ""), row(1, None), row(1, None), row(2, ""), row(3, " \n\n"), row(4, "x" * 200_000), row(5, "word " * 50_000), row(None, "lone text of a row without id"), row(6, "é\nÉ\n\n")]
+    docs = spark.createDataFrame(odd, ", ".join(f"{c} {kinds[c]}" for c in documents.columns)).unionByName(some).withColumn("own score", F.lit(1)).withColumn("TH", F.lit("?")).withColumn("node", F.lit(2))
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, docs, SF)
+        if name != "packing":
+            assert out.columns == docs.columns
+            kept = {(r.doc_id, r.text) for r in out.collect()}
+            assert name == "line dedup" or kept <= {(r.doc_id, r.text) for r in docs.collect()}
+            assert (name == "line dedup") <= (len(out.collect()) == docs.count())
+        else:
+            assert sum(r.length for r in out.collect()) == sum(r.doc_tokens for r in out.where("start = 0").collect())
+
+
 def test_quality_stage_is_the_classifier(spark, documents):
     import corpus_pipeline
 
