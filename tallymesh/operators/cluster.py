@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .linalg import slopes
-from .metrics import adjusted_rand, modularity
+from ..plans.staging import stage
+from .metrics import adjusted_rand, modularity, silhouettes
 
 MAX_EDGES = 60_000_000  # a graph of more edges is not sent to tasks
 
@@ -114,20 +115,22 @@ def gammas(least: float = 0.05, most: float = 1.5, n: int = 30) -> list[float]:
     return sorted({round(float(x), 4) for x in np.linspace(least, most, max(n, 2))})
 
 
-def _broadcast(edges: DataFrame, cells: DataFrame):
-    n = edges.count()
-    if n > MAX_EDGES:
-        raise ValueError(f"{n} edges: more than the {MAX_EDGES} that are sent to tasks")
-    ids = np.array([r[0] for r in cells.select("cell").orderBy("cell").collect()])
-    e = edges.select("i", "j", "w").orderBy("i", "j").toPandas()
-    i, j = np.searchsorted(ids, e["i"]), np.searchsorted(ids, e["j"])
-    return edges.sparkSession.sparkContext.broadcast((ids, i, j, e["w"].to_numpy(float)))
+def graph_arrays(edges: DataFrame, cells: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, i, j, w): a graph of up to MAX_EDGES edges on the driver, ends as positions among the cells."""
+    n, m = edges.count(), cells.count()
+    if n + m > MAX_EDGES:
+        raise ValueError(f"{n} edges of {m} cells: more than the {MAX_EDGES} that are sent to tasks")
+    ids = np.sort(cells.select("cell").toArrow()["cell"].to_numpy())
+    e = edges.select("i", "j", "w").toArrow()
+    i, j, w = (e[c].to_numpy() for c in ("i", "j", "w"))
+    order = np.lexsort((j, i))
+    return ids, np.searchsorted(ids, i[order]), np.searchsorted(ids, j[order]), w[order].astype(float)
 
 
 def sweep(edges: DataFrame, cells: DataFrame, grid: list[float], iterations: int = 2, seed: int = 0) -> DataFrame:
     """(gamma, cell, cluster) at every resolution of the grid. edges: (i, j, w) both ways."""
     spark = edges.sparkSession
-    held = _broadcast(edges, cells)
+    held = spark.sparkContext.broadcast(graph_arrays(edges, cells))
 
     def run(frames):
         ids, i, j, w = held.value
@@ -140,8 +143,9 @@ def sweep(edges: DataFrame, cells: DataFrame, grid: list[float], iterations: int
 
 def distinct_partitions(labels: DataFrame) -> DataFrame:
     """(gamma, print): of equal labelings the one of lowest gamma. labels: (gamma, cell, cluster)."""
-    mark = F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cell", "cluster"))), lambda x: x["cluster"].cast("string")), ","))
-    prints = labels.groupBy("gamma").agg(mark.alias("print"))
+    one, two = F.xxhash64("cell", "cluster"), F.xxhash64("cluster", F.lit("print"), "cell")  # sums of hashes: no labeling is gathered
+    marks = F.concat_ws(" ", F.count("*"), F.bit_xor(one), F.sum(F.pmod(one, F.lit(1 << 31))), F.bit_xor(two), F.sum(F.pmod(two, F.lit(1 << 31))))
+    prints = labels.groupBy("gamma").agg(marks.alias("print"))
     return prints.withColumn("r", F.row_number().over(Window.partitionBy("print").orderBy("gamma"))).where("r = 1").drop("r")
 
 
@@ -256,6 +260,44 @@ def first_plateau(curve: DataFrame, width: int = 5, share: float = 0.1) -> DataF
     return s.crossJoin(top).where(F.abs("slope") <= share * F.col("top")).agg(F.min("x").alias("x"))
 
 
+def log_knee(curve: DataFrame) -> DataFrame:
+    """(x): knee of the curve with y on a logarithmic scale."""
+    return knee(curve.select("x", F.log10(F.greatest(F.col("y").cast("double"), F.lit(1e-9))).alias("y")))
+
+
+def bulge(curve: DataFrame) -> DataFrame:
+    """(x): where the curve, scaled to the unit square, lies farthest from its diagonal; on the side it mostly lies on."""
+    ends = curve.agg(F.min("x").alias("x1"), F.max("x").alias("x2"), F.min_by("y", "x").alias("y1"), F.max_by("y", "x").alias("y2"))
+    unit = lambda v: (F.col(v) - F.col(f"{v}1")) / F.greatest(F.col(f"{v}2") - F.col(f"{v}1"), F.lit(1e-12))
+    d = curve.crossJoin(ends).select("x", (unit("y") - unit("x")).alias("d"))  # one row of ends
+    up, down = (F.max_by("x", F.struct(F.round(s * F.col("d"), 9), -F.col("x"))) for s in (1, -1))
+    return d.agg(F.when(F.avg("d") < 0, down).otherwise(up).alias("x"))
+
+
+def parsimony(scores: DataFrame) -> DataFrame:
+    """(x): the largest x of (x, mean, sd) whose mean is within one deviation of the best mean's."""
+    best = scores.agg(F.max(F.struct("mean", -F.col("x"), "sd")).alias("b"))
+    return scores.crossJoin(best).where(F.col("mean") >= F.col("b.mean") - F.col("b.sd")).agg(F.max("x").alias("x"))
+
+
+def embedding_silhouettes(points: DataFrame, labels: DataFrame, sample: int = 1000, rounds: int = 5) -> DataFrame:
+    """(x, mean, sd): silhouette of each resolution's labels (gamma, cell, cluster) on the embedding.
+
+    The mean and deviation of ``rounds`` samples of cells chosen by hash, at most ``sample`` each;
+    a sample of one cluster scores 0. `parsimony` picks from the result.
+    """
+    per = None
+    for r in range(rounds):
+        some = points.select("cell", "vec").orderBy(F.xxhash64("cell", F.lit(r))).limit(sample)
+        own = some.join(labels.select("gamma", "cell", "cluster"), "cell").withColumn("part", F.concat_ws("/", F.col("gamma").cast("string"), F.lit(str(r))))
+        per = own if per is None else per.unionByName(own)
+    per = stage(per, "samples")
+    parts = per.groupBy("part", "gamma").agg(F.countDistinct("cluster").alias("k"))
+    width = silhouettes(per.select("cell", "vec", "cluster", "part")).groupBy("part").agg(F.avg("s").alias("s"))
+    one = parts.join(width, "part", "left").select("gamma", F.when(F.col("k") < 2, 0.0).otherwise(F.coalesce("s", F.lit(0.0))).alias("s"))
+    return one.groupBy(F.col("gamma").alias("x")).agg(F.avg("s").alias("mean"), F.stddev_pop("s").alias("sd"))
+
+
 def stability(runs: DataFrame) -> DataFrame:
     """(gamma, ari): agreement of each resolution's labels (gamma, cell, cluster) with the next one's."""
     grid = [r[0] for r in runs.select("gamma").distinct().orderBy("gamma").collect()]  # a row per resolution

@@ -75,61 +75,97 @@ def knn(points: DataFrame, k: int, metric: str = "euclidean", queries: DataFrame
     return found.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k).select("cell", "nbr_batch", "slot", "nbr", "dist")
 
 
-def knn_ivf(points: DataFrame, k: int, lists: int | None = None, probes: int = 8, sample: int = 20_000, metric: str = "euclidean") -> DataFrame:
-    """Approximate knn, for large tables: cells meet only in the lists of their nearest centroids.
-
-    Centroids are fit on at most ``sample`` points; every point is in one list, every query
-    looks into ``probes`` lists. Lists of more than BLOCK points are cut into blocks.
-    """
-    pts = points.select("cell", F.col("batch").cast("string").alias("batch"), "vec")
-    if metric == "cosine":
-        pts = normalise(pts)
-    n = pts.count()
-    lists = lists or max(1, int(np.sqrt(n)))
-    share = min(1.0, sample / max(n, 1))
-    some = pts.where(F.pmod(F.xxhash64("cell"), F.lit(1 << 20)) < int(share * (1 << 20))).orderBy("cell").select("vec")
-    x = np.array([r[0] for r in some.collect()], float)
-    rng = np.random.default_rng(0)
-    centre = x[rng.choice(len(x), min(lists, len(x)), replace=False)]
+def _centroids(x: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    centre = x[rng.choice(len(x), min(n, len(x)), replace=False)]
     for _ in range(10):
         near = ((centre**2).sum(1)[None] - 2 * x @ centre.T).argmin(1)
-        size = np.bincount(near, minlength=len(centre))
-        total = np.zeros_like(centre)
+        size, total = np.bincount(near, minlength=len(centre)), np.zeros_like(centre)
         np.add.at(total, near, x)
         centre = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], centre)
-    probes = min(probes, len(centre))
-    held = pts.sparkSession.sparkContext.broadcast(centre)
+    return centre
 
-    def assign(frames):
-        c = held.value
+
+def _probes(pts: DataFrame, placed: DataFrame, centres: dict, k: int, share: float, trials: int) -> int:
+    """Lists to look into so that, for some cells, share of the true neighbours of every batch lie there."""
+    n = pts.count()
+    some = pts.where(F.pmod(F.xxhash64("cell", F.lit("trial")), F.lit(1 << 20)) <= int(min(1.0, trials / n) * (1 << 20))).orderBy("cell").limit(2 * trials)
+    vec = {r["cell"]: r["vec"] for r in some.select("cell", "vec").collect()}
+    truth = knn(pts, k, queries=some).join(placed.select(F.col("cell").alias("nbr"), "list"), "nbr").select("cell", "nbr_batch", "list")
+    need: dict[str, list[int]] = {}
+    for cell, batch, own in truth.collect():  # trials x batches x k rows
+        c = centres[batch]
+        d = ((c - np.array(vec[cell])) ** 2).sum(1)
+        need.setdefault(batch, []).append(int((d < d[own]).sum()) + 1)
+    return max((int(np.quantile(v, share, method="higher")) for v in need.values()), default=1)
+
+
+def knn_ivf(points: DataFrame, k: int, lists: int | None = None, probes: int | None = None, sample: int = 20_000, metric: str = "euclidean", share: float = 0.97, trials: int = 200) -> DataFrame:
+    """Approximate knn, for large tables: cells meet only in the lists of near centroids.
+
+    Each batch has its own lists, whose centroids are fit on at most about ``sample`` of its
+    points; every point is in one list. A query looks into the ``probes`` nearest lists of every
+    batch; where no number is given, into as many as hold ``share`` of the true neighbours of
+    some ``trials`` cells. Lists of more than BLOCK points are cut into blocks. Cells that find
+    fewer than k of a batch that has more are compared with all of it. So every cell has k rows
+    for each batch (all of a smaller one).
+    """
+    pts = points.select("cell", F.col("batch").cast("string").alias("batch"), "vec")
+    if metric == "cosine":
+        pts = normalise(pts)
+    pts = stage(pts, "points")
+    sizes = {r["batch"]: r["count"] for r in pts.groupBy("batch").count().collect()}  # a row per batch
+    centres = {}
+    for batch, n in sorted(sizes.items()):
+        some = pts.where((F.col("batch") == batch) & (F.pmod(F.xxhash64("cell"), F.lit(1 << 20)) <= int(min(1.0, sample / n) * (1 << 20))))
+        x = np.array([r[0] for r in some.orderBy("cell").select("vec").collect()], float)
+        if not len(x):  # a small batch that no hash chose
+            x = np.array([r[0] for r in pts.where(F.col("batch") == batch).select("vec").limit(sample).collect()], float)
+        centres[batch] = _centroids(x, lists or max(1, min(int(np.sqrt(n)), len(x))))
+    held = pts.sparkSession.sparkContext.broadcast(centres)
+
+    def nearest(frames, width: int, own: bool):
         for f in frames:
             v = np.stack(f["vec"].to_numpy())
-            d = (c**2).sum(1)[None] - 2 * v @ c.T
-            near = np.argsort(d, axis=1)[:, :probes]
-            for r in range(probes):
-                yield pd.DataFrame({"cell": f["cell"], "batch": f["batch"], "vec": f["vec"], "list": near[:, r], "rank": r})
-
-    dealt = stage(pts.mapInPandas(assign, "cell long, batch string, vec array<double>, list int, rank int"), "lists")
+            for batch, c in held.value.items():
+                some = np.flatnonzero(f["batch"].to_numpy() == batch) if own else np.arange(len(f))
+                if len(some):
+                    d = (c**2).sum(1)[None] - 2 * v[some] @ c.T
+                    for near in np.argsort(d, axis=1, kind="stable")[:, :width].T:
+                        yield pd.DataFrame({"cell": f["cell"].to_numpy()[some], "batch": batch, "vec": f["vec"].to_numpy()[some], "list": near.astype(np.int32)})
+
+    schema = "cell long, batch string, vec array<double>, list int"
+    placed = stage(pts.mapInPandas(lambda frames: nearest(frames, 1, True), schema), "lists")
+    probes = probes or _probes(pts, placed, centres, k, share, trials)
+    asked = stage(pts.mapInPandas(lambda frames: nearest(frames, probes, False), schema), "asked")
     part = F.pmod(F.xxhash64("cell"), F.lit(1 << 16)).cast("int")
-    size = dealt.where("rank = 0").groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
-    ps = dealt.where("rank = 0").join(size, "list").groupBy("list", F.pmod(part, F.col("cuts")).alias("b")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("ps"))
-    queries = dealt.groupBy("list", F.pmod(part, F.lit(64)).alias("qb")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("qs"))
+    size = placed.groupBy("batch", "list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    ps = placed.join(size, ["batch", "list"]).groupBy("batch", "list", F.pmod(part, F.col("cuts")).alias("b")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("ps"))
+    many = asked.groupBy("batch", "list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    queries = asked.join(many, ["batch", "list"]).groupBy("batch", "list", F.pmod(part, F.col("cuts")).alias("qb")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("qs"))
 
     def run(frames):
         for f in frames:
-            for qs, ps_ in zip(f["qs"], f["ps"], strict=True):
+            for batch, qs, ps_ in zip(f["batch"], f["qs"], f["ps"], strict=True):
                 qc, _, q = _arrays(qs)
-                pc, pb, p = _arrays(ps_)
-                for batch in np.unique(pb.astype(str)):
-                    own = np.flatnonzero(pb == batch)
-                    d = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (p[own] ** 2).sum(1)[None] - 2 * q @ p[own].T, 0))
-                    m = min(k, len(own))
-                    near = np.argpartition(d, m - 1, axis=1)[:, :m]
-                    yield pd.DataFrame({"cell": np.repeat(qc, m), "nbr_batch": batch, "nbr": pc[own][near].ravel(), "dist": np.take_along_axis(d, near, 1).ravel()})
+                pc, _, p = _arrays(ps_)
+                d = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (p**2).sum(1)[None] - 2 * q @ p.T, 0))
+                m = min(k, len(p))
+                near = np.argpartition(d, m - 1, axis=1)[:, :m]
+                yield pd.DataFrame({"cell": np.repeat(qc, m), "nbr_batch": batch, "nbr": pc[near].ravel(), "dist": np.take_along_axis(d, near, 1).ravel()})
 
-    found = queries.join(ps, "list").select("qs", "ps").mapInPandas(run, "cell long, nbr_batch string, nbr long, dist double")
+    found = queries.join(ps, ["batch", "list"]).select("batch", "qs", "ps").mapInPandas(run, "cell long, nbr_batch string, nbr long, dist double")
     w = Window.partitionBy("cell", "nbr_batch").orderBy("dist", "nbr")
-    return found.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k).select("cell", "nbr_batch", "slot", "nbr", "dist")
+    found = stage(found.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k).select("cell", "nbr_batch", "slot", "nbr", "dist"), "found")
+    want = pts.sparkSession.createDataFrame([(b, min(k, n)) for b, n in sizes.items()], "nbr_batch string, want int")
+    have = found.groupBy("cell", "nbr_batch").count()
+    short = pts.select("cell", "vec").join(F.broadcast(want)).join(have, ["cell", "nbr_batch"], "left").where(F.coalesce("count", F.lit(0)) < F.col("want")).select("cell", "vec", "nbr_batch")
+    short = stage(short, "short")
+    for batch in [r[0] for r in short.select("nbr_batch").distinct().collect()]:
+        own = short.where(F.col("nbr_batch") == batch)
+        exact = knn(pts.where(F.col("batch") == batch), k, queries=own.select("cell", "vec"))
+        found = found.join(own.select("cell", "nbr_batch"), ["cell", "nbr_batch"], "left_anti").select(exact.columns).unionByName(exact)
+    return found
 
 
 def batch_balanced(points: DataFrame, k: int = 3, backend: str = "auto", threshold: int = 5000, metric: str = "euclidean") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import classify, cluster, integrate, linalg, metrics, neighbors, qc, rogue, umap
@@ -28,8 +28,9 @@ _EDGES = "dir AS (SELECT cell AS i, nbr AS j, 1.0::DOUBLE / slot AS w FROM knn W
 # fixed labelings of the embeddings, some of them equal: partition g groups labels modulo g
 _PARTS = "parts AS (SELECT g * 0.2::DOUBLE AS gamma, cell, (CASE WHEN g = 8 THEN label % 4 WHEN g = 9 THEN label % 6 ELSE label % g END)::INT AS cluster FROM emb, range(1, 10) t(g))"
 _TABLE = "tab AS (SELECT p_partkey AS gene, p_brand AS cluster, p_retailprice / 1000 AS ds, (p_size % 7) / 70.0::DOUBLE AS p, (p_partkey % 100) / 500.0::DOUBLE AS p_adj FROM part)"
-_SV = "sv AS (SELECT i::INT AS i, 100.0::DOUBLE / i + CASE WHEN i <= 8 THEN 40 ELSE 0 END AS s FROM range(1, 61) t(i))"
-_METRICS = "metrics AS (SELECT 'route' || (p_partkey % 4) AS route, ['ilisi','clisi','graph_connectivity','label_silhouette','batch_silhouette','isolated_label','rogue_mean','sccaf','mean'][1 + CAST(p_partkey // 4 % 9 AS INT)] AS metric, p_retailprice / 2500 AS value FROM part WHERE p_partkey < 36)"
+# the sixty largest of the parts' quantities: a falling curve as singular values are
+_SV = "sv AS (SELECT row_number() OVER (ORDER BY q DESC, k)::INT AS i, q::DOUBLE AS s FROM (SELECT l_partkey AS k, sum(l_quantity) AS q FROM lineitem GROUP BY 1) QUALIFY i <= 60)"
+_METRICS = "metrics AS (SELECT 'route' || (p_partkey % 4) AS route, ['ilisi','clisi','graph_connectivity','label_silhouette','batch_silhouette','isolated_label','rogue_mean','sccaf','mean'][1 + CAST(p_partkey // 4 % 9 AS INT)] AS metric, sum(CAST(round(p_retailprice * 100) AS BIGINT)) / 250000.0::DOUBLE / count(*) AS value FROM part GROUP BY 1, 2)"
 
 
 def _query(sql: str | None = None, *ctes: str):
@@ -146,23 +147,24 @@ def rogue_rollup(s, d):
 # ---------------------------------------------------------------- components
 
 
-def _sv(s):
-    return s.range(1, 61).select(F.col("id").cast("int").alias("i"), (F.lit(100.0) / F.col("id") + F.when(F.col("id") <= 8, 40).otherwise(0)).alias("s"))
+def _sv(s, d):
+    q = src.read(s, d, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").cast("double").alias("s")).orderBy(F.desc("s"), "l_partkey").limit(60)
+    return q.select(F.row_number().over(Window.orderBy(F.desc("s"), "l_partkey")).alias("i"), "s")
 
 
 @_query("SELECT round(tau, 6) AS tau, above::BIGINT AS above, least(greatest(above + 5, 1, 15), 50)::BIGINT AS suggested FROM (SELECT tau, count(*) FILTER (s > tau) AS above FROM sv, (SELECT median(s) * sqrt(2 * 1.5 + 8 * 0.5 / (1.5 + sqrt(0.25 + 7 + 1))) AS tau FROM sv) GROUP BY tau)", _SV)
 def gavish_donoho_given_sv(s, d):
-    return linalg.suggest(_sv(s), 2000, 1000).select(_r("tau"), "above", F.col("suggested").cast("long").alias("suggested"))
+    return linalg.suggest(_sv(s, d), 2000, 1000).select(_r("tau"), "above", F.col("suggested").cast("long").alias("suggested"))
 
 
 @_query("SELECT max_by(i, round(abs((y2 - y1) * (i - 1) - (l - 1) * s + (l - 1) * y1), 9) * 1000 - i)::BIGINT AS elbow FROM sv, (SELECT min_by(s, i) AS y1, max_by(s, i) AS y2, count(*) AS l FROM sv) WHERE i > 1 AND i < l", _SV)
 def perpendicular_elbow_given_sv(s, d):
-    return linalg.elbow(_sv(s))
+    return linalg.elbow(_sv(s, d))
 
 
 @_query("SELECT x, round((last_value(y) OVER w - first_value(y) OVER w) / nullif(last_value(x) OVER w - first_value(x) OVER w, 0), 6) AS slope FROM (SELECT i AS x, s AS y FROM sv) WINDOW w AS (ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)", _SV)
 def sliding_slopes(s, d):
-    return linalg.slopes(_sv(s).select(F.col("i").alias("x"), F.col("s").alias("y")), 5).select("x", _r("slope"))
+    return linalg.slopes(_sv(s, d).select(F.col("i").alias("x"), F.col("s").alias("y")), 5).select("x", _r("slope"))
 
 
 # ---------------------------------------------------------------- neighbours and graphs
@@ -220,6 +222,15 @@ def neighbor_recall(s, d):
     return neighbors.recall(k.where("slot <= 7"), k).select(_r("recall"))
 
 
+@_query("SELECT true AS enough, count(DISTINCT nbr_batch)::BIGINT AS batches, count(*)::BIGINT AS n_rows FROM knn", _EMB, _PAIR, _KNN3)
+def neighbor_recall_ivf(s, d):
+    """Inverted lists at default settings: rows for every cell and batch, and 0.9 of the true neighbours among them."""
+    p = _points(s, d)
+    found, truth = neighbors.batch_balanced(p, 3, "ivf"), neighbors.knn(p, 3)
+    size = found.agg(F.countDistinct("nbr_batch").alias("batches"), F.count("*").alias("n_rows"))
+    return neighbors.recall(found, truth).select((F.col("recall") >= 0.9).alias("enough")).crossJoin(size)  # a row each
+
+
 @_query("SELECT i, j, round(max(w), 6) AS w FROM (SELECT i, j, w FROM edges UNION ALL SELECT i, j, w / 2 FROM edges) GROUP BY 1, 2", _EMB, _PAIR, _KNN10, _EDGES)
 def edge_max(s, d):
     e = _edges(s, d)
@@ -376,41 +387,71 @@ def gamma_grid(s, d):
 
 @_query("SELECT max_by(x, round(abs((y2 - y1) * (x - x1) - (x2 - x1) * (y - y1)), 9) * 1e4 - x) AS x FROM (SELECT i AS x, s AS y FROM sv), (SELECT min(i) AS x1, max(i) AS x2, min_by(s, i) AS y1, max_by(s, i) AS y2 FROM sv)", _SV)
 def curve_knee(s, d):
-    return cluster.knee(_sv(s).select(F.col("i").alias("x"), F.col("s").alias("y")))
+    return cluster.knee(_sv(s, d).select(F.col("i").alias("x"), F.col("s").alias("y")))
 
 
-def _curve(s):
-    return _sv(s).select(F.col("i").alias("x"), F.col("s").alias("y"))
+def _curve(s, d):
+    return _sv(s, d).select(F.col("i").alias("x"), F.col("s").alias("y"))
 
 
 @_query("SELECT max_by(x, round(d, 9) * 1e4 - x / 1e3) AS x FROM (SELECT i AS x, s - lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL", _SV)
 def curve_steepest(s, d):
-    return cluster.steepest(_curve(s))
+    return cluster.steepest(_curve(s, d))
 
 
 @_query("SELECT max_by(x, round(d, 9) * 1e4 - x / 1e3) AS x FROM (SELECT i AS x, lead(s) OVER (ORDER BY i) - 2 * s + lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL", _SV)
 def curve_bend(s, d):
-    return cluster.bend(_curve(s))
+    return cluster.bend(_curve(s, d))
 
 
 @_query("SELECT min(x) AS x FROM st, (SELECT median(abs(d)) * 2 AS t FROM st) WHERE abs(d) > t", _SV, "st AS (SELECT * FROM (SELECT i AS x, s - lag(s) OVER (ORDER BY i) AS d FROM sv) WHERE d IS NOT NULL)")
 def curve_first_jump(s, d):
-    return cluster.first_jump(_curve(s))
+    return cluster.first_jump(_curve(s, d))
 
 
 @_query("SELECT min(i) AS x FROM sv, (SELECT min(s) AS lo, max(s) AS hi FROM sv) WHERE s >= lo + 0.9 * (hi - lo)", _SV)
 def curve_rise(s, d):
-    return cluster.rise(_curve(s))
+    return cluster.rise(_curve(s, d))
 
 
 @_query("SELECT min(x) AS x FROM sl WHERE abs(slope) <= 0.1 * (SELECT max(abs(slope)) FROM sl)", _SV, "sl AS (SELECT i AS x, (last_value(s) OVER w - first_value(s) OVER w) / (last_value(i) OVER w - first_value(i) OVER w) AS slope FROM sv WINDOW w AS (ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))")
 def curve_first_plateau(s, d):
-    return cluster.first_plateau(_curve(s))
+    return cluster.first_plateau(_curve(s, d))
+
+
+@_query("SELECT max_by(x, round(abs((y2 - y1) * (x - x1) - (x2 - x1) * (y - y1)), 9) * 1e4 - x / 1e3) AS x FROM (SELECT i AS x, log10(greatest(s, 1e-9)) AS y FROM sv), (SELECT min(i) AS x1, max(i) AS x2, log10(min_by(s, i)) AS y1, log10(max_by(s, i)) AS y2 FROM sv)", _SV)
+def curve_log_knee(s, d):
+    return cluster.log_knee(_curve(s, d))
+
+
+@_query("SELECT CASE WHEN avg(d) < 0 THEN min_by(x, round(d, 9) * 1e4 + x / 1e3) ELSE max_by(x, round(d, 9) * 1e4 - x / 1e3) END AS x FROM (SELECT i AS x, (s - y1) / greatest(y2 - y1, 1e-12) - (i - 1) / 59.0::DOUBLE AS d FROM (SELECT i, 1000.0::DOUBLE - s AS s FROM sv), (SELECT 1000.0::DOUBLE - min_by(s, i) AS y1, 1000.0::DOUBLE - max_by(s, i) AS y2 FROM sv))", _SV)
+def curve_bulge(s, d):
+    return cluster.bulge(_curve(s, d).withColumn("y", 1000.0 - F.col("y")))
+
+
+@_query("SELECT max(x) AS x FROM t, (SELECT mean AS m, sd AS v FROM t ORDER BY mean DESC, x LIMIT 1) WHERE mean >= m - v", "t AS (SELECT p_size AS x, avg(p_partkey % 1000)::DOUBLE AS mean, stddev_pop(p_partkey % 1000) / 20 AS sd FROM part GROUP BY 1)")
+def parsimonious_pick(s, d):
+    k = F.col("p_partkey") % 1000
+    return cluster.parsimony(src.read(s, d, "part").groupBy(F.col("p_size").alias("x")).agg(F.avg(k).alias("mean"), (F.stddev_pop(k) / 20).alias("sd")))
+
+
+@_query("SELECT count(*)::BIGINT AS n_edges, count(DISTINCT i)::BIGINT AS n_cells, (SELECT count(*) FROM knn WHERE cell != nbr)::BIGINT AS n_slots FROM edges", _EMB, _PAIR, _KNN10, _EDGES)
+def edge_counts(s, d):
+    slots = _knn10(s, d).where("cell != nbr").agg(F.count("*").alias("n_slots"))
+    return _edges(s, d).agg(F.count("*").alias("n_edges"), F.countDistinct("i").alias("n_cells")).crossJoin(slots)  # a row each
 
 
 # ---------------------------------------------------------------- reporting
 
 
+@_query("SELECT route, cluster, round(score, 6) AS score, up::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY route ORDER BY score DESC, cluster) AS up, row_number() OVER (PARTITION BY route ORDER BY score, cluster DESC) AS down FROM (SELECT p_type AS route, p_brand AS cluster, avg(p_retailprice / 2500) AS score FROM part GROUP BY 1, 2)) WHERE up <= 2 OR down <= 1")
+def purity_head_and_tail(s, d):
+    from .plans.report import purity_bands as bands
+
+    p = src.read(s, d, "part").select(F.col("p_type").alias("route"), F.col("p_brand").alias("cluster"), (F.col("p_retailprice") / 2500).alias("score"))
+    return bands(p, 2, 1).select("route", "cluster", _r("score"), "rank")
+
+
 @_query("SELECT route, cluster, round(score, 6) AS score, CASE WHEN score >= 0.85 THEN 'high' WHEN score >= 0.7 THEN 'fair' ELSE 'low' END AS band, (row_number() OVER (PARTITION BY route ORDER BY score DESC, cluster))::INT AS rank FROM (SELECT p_type AS route, p_brand AS cluster, avg(p_retailprice / 2500) AS score FROM part GROUP BY 1, 2)")
 def purity_bands(s, d):
     from .plans.report import purity_bands as bands
@@ -426,8 +467,9 @@ def transposed_graph(s, d):
 
 def _metrics(s, d):
     names = F.array(*[F.lit(x) for x in ("ilisi", "clisi", "graph_connectivity", "label_silhouette", "batch_silhouette", "isolated_label", "rogue_mean", "sccaf", "mean")])
-    p = src.read(s, d, "part").where("p_partkey < 36")
-    return p.select(F.concat(F.lit("route"), (F.col("p_partkey") % 4).cast("string")).alias("route"), F.element_at(names, (F.floor(F.col("p_partkey") / 4) % 9 + 1).cast("int")).alias("metric"), (F.col("p_retailprice") / 2500).alias("value"))
+    route, metric = F.concat(F.lit("route"), (F.col("p_partkey") % 4).cast("string")), F.element_at(names, (F.floor(F.col("p_partkey") / 4) % 9 + 1).cast("int"))
+    cents = F.sum(F.round(F.col("p_retailprice") * 100).cast("long"))
+    return src.read(s, d, "part").groupBy(route.alias("route"), metric.alias("metric")).agg((cents / F.lit(250000.0) / F.count("*")).alias("value"))
 
 
 @_query("SELECT route, round(batch, 6) AS batch, round(bio, 6) AS bio, round(homogeneity, 6) AS homogeneity, round((0.35 * coalesce(batch, 0) + 0.45 * coalesce(bio, 0) + 0.2 * coalesce(homogeneity, 0)) / (CASE WHEN batch IS NULL THEN 0 ELSE 0.35 END + CASE WHEN bio IS NULL THEN 0 ELSE 0.45 END + CASE WHEN homogeneity IS NULL THEN 0 ELSE 0.2 END), 6) AS overall FROM (SELECT route, avg(value) FILTER (metric IN ('ilisi', 'batch_silhouette')) AS batch, avg(value) FILTER (metric IN ('clisi', 'graph_connectivity', 'label_silhouette', 'isolated_label')) AS bio, avg(value) FILTER (metric IN ('rogue_mean', 'sccaf')) AS homogeneity FROM metrics GROUP BY 1)", _METRICS)

@@ -37,6 +37,40 @@ def test_blocks_do_not_change_neighbours(spark):
     assert neighbors.recall(found, truth).first()[0] >= 0.9
 
 
+@pytest.mark.parametrize("d,offset", [(20, 6.0), (8, 0.0)])
+def test_inverted_lists_join_batches(spark, d, offset):
+    """At default settings: k rows for every cell and batch, and 0.9 of the true neighbours."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for b, n in ((0, 900), (1, 900), (2, 2)):
+        v = rng.normal(size=(n, d))
+        v[:, 0] += offset * b
+        rows += [(x, "abc"[b]) for x in v]
+    p = pts(spark, rows)
+    truth, found = neighbors.knn(p, 3).cache(), neighbors.batch_balanced(p, 3, "ivf").cache()
+    count = lambda k: {(r.nbr_batch, r["count"]) for r in k.groupBy("nbr_batch").count().collect()}
+    assert count(found) == count(truth) == {("a", 1802 * 3), ("b", 1802 * 3), ("c", 1802 * 2)}
+    own = truth.join(p.select("cell", "batch"), "cell").where("batch != nbr_batch").drop("batch")
+    assert neighbors.recall(found, truth).first()[0] >= 0.9
+    assert neighbors.recall(found, own).first()[0] >= 0.9
+
+
+def test_variable_genes_order(spark):
+    """Median rank first; more batches decide ties only."""
+    rng = np.random.default_rng(0)
+    rows = []
+    for b in range(2):
+        for g in range(40):
+            spread = 40.0 if g == b else 20.0 if g == 2 else 1.0
+            rows += [(b * 100 + c, g, float(max(0.0, round(20 + spread * rng.normal())))) for c in range(60)]
+    counts = spark.createDataFrame([r for r in rows if r[2]], "cell long, gene long, n double")
+    cells = spark.createDataFrame([(b * 100 + c, str(b)) for b in range(2) for c in range(60)], "cell long, batch string")
+    got = rogue.variable_genes(counts, cells, 10).orderBy("rank").collect()
+    keys = [(r.median_rank, -r.n_batches, r.gene) for r in got]
+    assert len(got) == 10 and keys == sorted(keys)
+    assert any(a.n_batches < b.n_batches for a, b in zip(got, got[1:], strict=False))
+
+
 def test_fuzzy_ring_and_symmetry(spark):
     ring = spark.createDataFrame([(i, (i + s) % 4, 1.0) for i in range(4) for s in (1, 3)], "cell long, nbr long, dist double")
     e = neighbors.fuzzy_graph(ring, 2).collect()
@@ -147,8 +181,8 @@ def test_low_rank_is_found(spark):
     assert abs(linalg.suggest(sv, 400, 150, 0, 1, 50).first().above - 8) <= 2
 
 
-@pytest.mark.parametrize("n,d,offset,one_task", [(200, 10, 2.5, 10**6), (150, 8, 1.5, 10**6), (150, 8, 1.5, 10)])
-def test_harmony_removes_a_batch_offset(spark, n, d, offset, one_task):
+@pytest.mark.parametrize("n,d,offset", [(200, 10, 2.5), (150, 8, 1.5)])
+def test_harmony_removes_a_batch_offset(spark, n, d, offset):
     rng = np.random.default_rng(2)
     rows = []
     for c in (-3, 3):
@@ -157,7 +191,7 @@ def test_harmony_removes_a_batch_offset(spark, n, d, offset, one_task):
             v[:, 0] += c
             v[:, 1] += offset * b
             rows += [(x, str(b)) for x in v]
-    out = integrate.harmony(pts(spark, rows), one_task, theta=2.0, n_clusters=4).orderBy("cell").collect()
+    out = integrate.harmony(pts(spark, rows), theta=2.0, n_clusters=4).orderBy("cell").collect()
     z, b = np.array([r.vec for r in out]), np.array([int(r.batch) for r in out])
     side = np.repeat([0, 1], 2 * n)
 
@@ -199,6 +233,18 @@ def test_leiden_and_resolution(spark):
     assert best["curve"].where("picked").count() == 1
 
 
+def test_embedding_silhouettes_and_parsimony(spark):
+    p, _ = two_blobs(spark, 120)
+    rows = [(g, i, c) for i in range(120) for g, c in ((0.1, 0), (0.5, int(i >= 60)), (1.0, i % 3))]
+    got = {r.x: r for r in cluster.embedding_silhouettes(p, spark.createDataFrame(rows, "gamma double, cell long, cluster int"), 60, 3).collect()}
+    assert got[0.1]["mean"] == 0 and got[0.5]["mean"] > 0.3 > 0.1 > got[1.0]["mean"] and 0 <= got[0.5].sd < 0.1
+    table = spark.createDataFrame([(1.0, 0.5, 0.1), (2.0, 0.9, 0.05), (3.0, 0.86, 0.3), (4.0, 0.8, 0.5)], "x double, mean double, sd double")
+    assert cluster.parsimony(table).first().x == 3.0
+    up = spark.createDataFrame([(float(i), float(y)) for i, y in enumerate([1, 50, 80, 95, 100])], "x double, y double")
+    down = up.withColumn("y", 101 - up["y"])
+    assert cluster.bulge(up).first().x == 2.0 and cluster.bulge(down.withColumn("y", -down["y"])).first().x == 2.0
+
+
 def test_hull_and_ranges():
     p = [(1.0, 1.0), (0.875, 0.5), (0.625, 0.25), (0.5, 0.375), (0.75, 0.375)]
     assert cluster.hull(p) == [2, 1, 0]  # the collinear point between is left out
@@ -238,6 +284,50 @@ def test_config():
         integrate.scvi()
 
 
+@pytest.mark.parametrize("name,value", [("pca_n_power_iter", 3), ("plot_dir", "x"), ("scib_parallel", True), ("hvg_flavor", "cell_ranger"), ("max_leiden_workers", 2), ("harmony_block_size", 0.2)])
+def test_options_without_effect_are_refused(name, value):
+    with pytest.raises(ValueError, match=name):
+        PipelineConfig(**{name: value})
+
+
+def test_dispersed_genes(spark):
+    """Against the same steps over plain arrays."""
+    rng = np.random.default_rng(3)
+    x = rng.poisson(rng.gamma(2, 1, 60)[None, :] * rng.gamma(1 / rng.uniform(0.1, 2, 60), rng.uniform(0.1, 2, 60), (80, 60)), (80, 60)).astype(float)
+    batch = np.arange(80) % 2
+    rows = [(i, j, float(np.log1p(v))) for i, r in enumerate(x) for j, v in enumerate(r) if v]
+    cells = spark.createDataFrame([(i, str(b)) for i, b in enumerate(batch)], "cell long, batch string")
+    norms, first = np.zeros(60), np.zeros(60, int)
+    for b in (0, 1):
+        own = x[batch == b]
+        mean, var = own.mean(0), own.var(0, ddof=1)
+        there = np.flatnonzero(var > 0)
+        m, disp = np.log1p(mean[there]), np.log(var[there] / mean[there])
+        at = np.maximum(np.ceil((m - m.min()) / (m.max() - m.min()) * 20), 1)
+        norm = np.array([1.0 if (at == at[i]).sum() == 1 else (disp[i] - disp[at == at[i]].mean()) / disp[at == at[i]].std(ddof=1) for i in range(len(there))])
+        norms[there] += norm / 2
+        first[there[np.lexsort((there, -norm))[:15]]] += 1
+    want = np.lexsort((np.arange(60), -norms, -first))[:15].tolist()
+    got = rogue.dispersed_genes(spark.createDataFrame(rows, "cell long, gene long, value double"), cells, 15).orderBy("rank").collect()
+    assert [r.gene for r in got] == want and [r.dispersion for r in got] == pytest.approx(norms[want])
+
+
+def test_spectral_start():
+    """The second eigenvector of two blocks joined by a thread tells them apart."""
+    rng = np.random.default_rng(0)
+    m = (rng.random((60, 60)) < 0.3).astype(float)
+    m[:30, 30:] = 0
+    m = np.triu(m, 1)
+    m[0, 59] = 1
+    m = m + m.T
+    i, j = np.nonzero(m)
+    y = umap.spectral(60, i, j, m[i, j])
+    s = 1 / np.sqrt(m.sum(1))
+    want = np.linalg.eigh(s[:, None] * m * s[None])[1][:, -2:-4:-1]
+    assert np.abs(y) == pytest.approx(np.abs(want), abs=1e-6)
+    assert len({*np.sign(y[:30, 0])}) == 1 and len({*np.sign(y[30:, 0])}) == 1
+
+
 def test_category_scores_and_pick(spark):
     m = spark.createDataFrame([("a", "ilisi", 0.5), ("a", "clisi", 1.0), ("b", "mean", 0.4), ("a", "mean", 0.4)], "route string, metric string, value double")
     r = {x.route: x.overall for x in metrics.category_scores(m).collect()}

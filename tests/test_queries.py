@@ -5,6 +5,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallymesh import registry
 from tallymesh.plans.pipeline import run_pipeline
@@ -51,6 +52,15 @@ def test_whole_run(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "graph")).where("route = 'bbknn'").count() > 0
 
 
+def test_other_keys_and_flavour(spark):
+    counts, cells, genes = planted(spark, 90, 80)
+    cells = cells.withColumnRenamed("batch", "orig.ident").withColumn("donor", F.pmod("cell", F.lit(2)).cast("string"))
+    res = run_pipeline(spark, counts, cells, genes, min_genes=10, hvg_n_top_genes=40, hvg_flavor="seurat", scale_zero_center=False, umap_init="spectral", compute_silhouette=False, champ_n_partitions=3, umap_n_epochs=5, rogue_sample_key="donor")
+    assert res.tables["hvg"].count() == 40 and "dispersion" in res.tables["hvg"].columns
+    assert {r.sample for r in res.tables["rogue_bbknn"].select("sample").distinct().collect()} == {"0", "1"}
+    assert {r.batch for r in res.tables["batches"].collect()} == {"A", "B"}
+
+
 def test_gate_pauses(spark):
     res = run_pipeline(spark, *planted(spark, 80, 60), min_genes=10, hvg_n_top_genes=40, integration="all", label_key="label", compute_silhouette=False, run_umap=False, harmony_max_iter=2)
     assert res.gate_paused and res.auto_pick in res.route_metrics and "leiden" not in res.tables
