@@ -152,10 +152,13 @@ def links(fps: DataFrame, tau: int = 2, whole: bool = True, block: int = BLOCK)
     """(u, v): links between distinct fingerprints (column fp) that differ in tau bits or fewer.
 
     whole=True: enough links to connect all that are linked (a forest per key, linear output);
-    whole=False: every linked pair once.
+    whole=False: every linked pair, u < v as unsigned, each once.
     """
     rows = fps.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("more"), F.lit(0).alias("size"), F.array().cast("array<long>").alias("keys"))
-    return pairs_of(meetings(rows, [tau], 0.0, probes_of(plan(*bit_statistics(fps), tau)), not whole, block))
+    met = pairs_of(meetings(rows, [tau], 0.0, probes_of(plan(*bit_statistics(fps), tau)), not whole, block))
+    sign = F.lit(-(1 << 63))
+    after = F.col("u").bitwiseXOR(sign) > F.col("v").bitwiseXOR(sign)
+    return met.select(F.when(after, F.col("v")).otherwise(F.col("u")).alias("u"), F.when(after, F.col("u")).otherwise(F.col("v")).alias("v"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFrame:

@@ -180,3 +180,22 @@ def test_leaks(spark, monkeypatch, rows_sent):
         want = leaks(texts(df), [(r.item_id, r.text or "") for r in own.collect()], 10)
         got = sorted(repr(tuple(r)) for r in decontam.find_leaks(df, own).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect())
         assert got == want
+
+
+# ---------------------------------------------------------------- SQL
+
+
+@pytest.mark.parametrize("name", ["op2_url_rules", "op5_spans", "op7_decontaminate", "op8_warc"])
+def test_queries_give_the_rows_of_their_sql(spark, name):
+    import duckdb
+
+    from tallymesh.llm.queries import ORACLES, QUERIES
+
+    duck = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").createOrReplaceTempView(table)
+        duck.register(table, spark.table(table).toArrow())
+    want = duck.execute(ORACLES[name]).fetchall()
+    cols = [c[0] for c in duck.description]
+    got = QUERIES[name](spark, SF)
+    assert set(cols) <= set(got.columns) and sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.select(*cols).collect())
