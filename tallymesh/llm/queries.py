@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 RULES = "SELECT * FROM VALUES ('com/en/','block'),('example.com/en/7','allow'),('net/de/','block'),('example.net/de/8','allow'),('org/es/','block') AS t(rule, verdict)"
 
 
@@ -12,10 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,13 +79,19 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_url_rules, op3_html_text, op4_simhash, op5_spans, op6_packing, op7_decontaminate, op8_warc, op9_media, op10_lines, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_url_rules, op3_html_text, op4_simhash, op5_spans, op6_packing, op7_decontaminate, op8_warc, op9_media, op10_lines, op13_bpe, pipeline)}
 
 _OP2 = r"""
 WITH r(rule, verdict) AS (VALUES ('com/en/','block'),('example.com/en/7','allow'),('net/de/','block'),('example.net/de/8','allow'),('org/es/','block')),
