@@ -79,6 +79,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import verify_documents
+
+    return verify_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import round_trip
 
@@ -91,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_url_rules, op3_html_text, op4_simhash, op5_spans, op6_packing, op7_decontaminate, op8_warc, op9_media, op10_lines, op13_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_url_rules, op3_html_text, op4_simhash, op5_spans, op6_packing, op7_decontaminate, op8_warc, op9_media, op10_lines, op11_divergence, op12_merkle, op13_bpe, pipeline)}
 
 _OP2 = r"""
 WITH r(rule, verdict) AS (VALUES ('com/en/','block'),('example.com/en/7','allow'),('net/de/','block'),('example.net/de/8','allow'),('org/es/','block')),
@@ -137,4 +149,63 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN word USING (id) LEFT JOIN named USING (id)
 """
 
-ORACLES = {"op2_url_rules": _OP2, "op5_spans": _OP5, "op7_decontaminate": _OP7, "op8_warc": _OP8}
+_OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+own AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sums AS (SELECT lang, source, sum(n) AS total FROM own GROUP BY lang, source),
+cell AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+                (1 + 1000000000 * (coalesce(o.n, 0) + 5)::HUGEINT // (coalesce(s.total, 0) + 5 * z.v)::HUGEINT)::BIGINT AS p,
+                (1 + 1000000000 * (k.n + 5)::HUGEINT // (z.total + 5 * z.v)::HUGEINT)::BIGINT AS q
+         FROM grp g JOIN kept k USING (lang) JOIN size z USING (lang) LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source),
+gap AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM cell a JOIN cell b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(gap.value, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN gap ON gap.lang = a.lang AND gap.source = a.source AND gap.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM cell WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS r FROM found)
+SELECT lang, source, part, item, value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 50
+"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    def said(c: str) -> str:
+        return f"coalesce(octet_length(encode(({c})::VARCHAR)) || ':' || ({c})::VARCHAR, '-')"
+
+    return f"sha256({' || '.join(map(said, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+#: Unsigned CRC-32 of doc_id in decimal: for each character, eight shifts.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+_OP12 = f"""
+WITH RECURSIVE leaf AS (SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf, CASE WHEN coalesce({_CRC32} % 7 = 0, false) THEN {_leaf_sql('n_chars::HUGEINT + 1')} END AS forged FROM documents),
+placed AS (SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+node(lang, k, pos, h, n) AS (
+  SELECT lang, 0, pos, leaf, n FROM placed
+  UNION ALL SELECT lang, k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM node WHERE n > 1 GROUP BY lang, k, pos // 2, n),
+sub AS (SELECT lang, k AS height, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+top(k, pos, h, n) AS (
+  SELECT 0, pos, subroot, n FROM sub
+  UNION ALL SELECT k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY k, pos // 2, n),
+level AS (SELECT DISTINCT lang, k FROM node WHERE n > 1),
+uplevel AS (SELECT DISTINCT k FROM top WHERE n > 1),
+step AS (
+  SELECT p.id, l.k, (p.pos >> l.k) & 1 AS right_of, s.h FROM placed p JOIN level l ON l.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN node s ON s.lang IS NOT DISTINCT FROM p.lang AND s.k = l.k AND s.pos = xor(p.pos >> l.k, 1)
+  UNION ALL SELECT p.id, u.height + l.k, (u.pos >> l.k) & 1, s.h FROM placed p JOIN sub u ON u.lang IS NOT DISTINCT FROM p.lang CROSS JOIN uplevel l
+  LEFT JOIN top s ON s.k = l.k AND s.pos = xor(u.pos >> l.k, 1)),
+fold(id, k, h) AS (
+  SELECT id, 0, coalesce(forged, leaf) FROM placed
+  UNION ALL SELECT f.id, f.k + 1, sha256(CASE WHEN s.right_of = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END) FROM fold f JOIN step s ON s.id = f.id AND s.k = f.k),
+last AS (SELECT id, max_by(h, k) AS folded FROM fold GROUP BY id),
+proof AS (SELECT id, sha256(coalesce(string_agg(h, '' ORDER BY k), '')) AS proof FROM step GROUP BY id)
+SELECT p.doc_id, p.leaf, sub.subroot, r.h AS root, coalesce(proof.proof, sha256('')) AS proof_sha256, last.folded AS folded_root, last.folded = r.h AS verified
+FROM placed p JOIN sub ON sub.lang IS NOT DISTINCT FROM p.lang JOIN last USING (id) LEFT JOIN proof USING (id) CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+"""
+
+ORACLES = {"op2_url_rules": _OP2, "op5_spans": _OP5, "op7_decontaminate": _OP7, "op8_warc": _OP8, "op11_divergence": _OP11, "op12_merkle": _OP12}
