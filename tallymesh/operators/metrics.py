@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.staging import components
-from .neighbors import BLOCK, block_pairs
+from ..plans.staging import components, partitions, stage
+from .neighbors import BLOCK, arrays, packed
 
 
 def simpson(dist: np.ndarray, code: np.ndarray, perplexity: float, steps: int = 50, tol: float = 1e-5) -> float:
@@ -134,33 +134,38 @@ def graph_connectivity(neighbours: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def distance_sums(points: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(cell, own, cluster, s, n): sum of distances to, and number of, other cells of each cluster.
+    """(cell, part, own, cluster, s, n): sum of distances to, and number of, other cells of each cluster.
 
-    points: (cell, vec, cluster, part); only cells of the same part are compared.
+    points: (cell, vec, cluster, part); only cells of the same part are compared: blocks are dealt
+    inside each part.
     """
-    pts = points.select("cell", F.concat_ws("\x01", F.col("part").cast("string"), F.col("cluster").cast("string")).alias("batch"), "vec")
-
-    def run(frames):
-        for f in frames:
-            for qs, ps in zip(f["qs"], f["ps"], strict=True):
-                qc, qb, q = _unpack(qs)
-                pc, pb, p = _unpack(ps)
+    pts = points.select("cell", F.col("part").cast("string").alias("part"), F.col("cluster").cast("string").alias("cluster"), "vec")
+    codes = pts.select("part", "cluster").distinct().withColumn("code", F.row_number().over(Window.partitionBy("part").orderBy("cluster")) - 1)
+    many = pts.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    pts = pts.join(codes, ["part", "cluster"]).join(many, "part").withColumn("b", F.pmod(F.xxhash64("cell"), F.col("blocks")).cast("int"))
+    ps = stage(packed(pts, "part", "blocks", "b"), "blocks")
+    q = ps.select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), *[F.col(c).alias(f"q {c}") for c in ("cells", "codes", "xs")])
+    both = q.join(ps.drop("blocks"), ["part", "b"]).select("part", "q cells", "q codes", "q xs", "cells", "codes", "xs").repartition(partitions(points.sparkSession))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for f in batches:
+            for i in range(len(f)):
+                (qc, qb, q), (pc, pb, p) = arrays(f, i, 1), arrays(f, i, 4)
                 d = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (p * p).sum(1)[None] - 2 * q @ p.T, 0))
-                d[qc[:, None] == pc[None, :]] = 0.0
-                qp, pp = np.array([x.split("\x01")[0] for x in qb]), np.array([x.split("\x01")[0] for x in pb])
-                for key in np.unique(pb):
-                    own = np.flatnonzero(pb == key)
-                    rows = np.flatnonzero(qp == pp[own[0]])
-                    if len(rows):
-                        others = len(own) - (qc[rows][:, None] == pc[own][None]).sum(1)
-                        yield pd.DataFrame({"cell": qc[rows], "own": qb[rows], "cluster": key, "s": d[np.ix_(rows, own)].sum(1), "n": others})
-
-    part = block_pairs(pts, block).select("qs", "ps").mapInPandas(run, "cell long, own string, cluster string, s double, n long")
-    return part.groupBy("cell", "own", "cluster").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-
+                same = qc[:, None] == pc[None]
+                d[same] = 0.0
+                found, place = np.unique(pb, return_inverse=True)
+                one = np.zeros((len(pb), len(found)))
+                one[np.arange(len(pb)), place] = 1
+                s, n = d @ one, one.sum(0) - same @ one
+                rows = [np.repeat(qc, len(found)), np.repeat(qb, len(found)), np.tile(found, len(qc)), s.ravel(), n.ravel().astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array([f.column(0)[i].as_py()] * s.size, pa.string()), *map(pa.array, rows)], ["part", "cell", "own", "other", "s", "n"])
 
-def _unpack(rows):
-    return np.array([r["cell"] for r in rows]), np.array([r["batch"] for r in rows]), np.array([r["vec"] for r in rows], float)
+    sums = both.mapInArrow(run, "part string, cell long, own int, other int, s double, n long").groupBy("part", "cell", "own", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    one, two = (codes.select("part", F.col("code").alias(c), F.col("cluster").alias(f"name {c}")) for c in ("own", "other"))
+    return sums.join(one, ["part", "own"]).join(two, ["part", "other"]).select("cell", "part", F.col("name own").alias("own"), F.col("name other").alias("cluster"), "s", "n")
 
 
 def silhouettes(points: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -173,19 +178,18 @@ def silhouettes(points: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def silhouettes_precomputed(dist: DataFrame, labels: DataFrame) -> DataFrame:
     """The same from distances (i, j, d) and labels (cell, label); a zero diagonal is ignored."""
-    lab = labels.select("cell", F.concat_ws("\x01", F.lit("0"), F.col("label").cast("string")).alias("l"))
+    lab = labels.select("cell", F.col("label").cast("string").alias("l"))
     a, b = lab.select(F.col("cell").alias("i"), F.col("l").alias("own")), lab.select(F.col("cell").alias("j"), F.col("l").alias("cluster"))
     s = dist.join(a, "i").join(b, "j").groupBy(F.col("i").alias("cell"), "own", "cluster").agg(F.sum(F.when(F.col("i") == F.col("j"), 0.0).otherwise(F.col("d"))).alias("s"), F.sum((F.col("i") != F.col("j")).cast("long")).alias("n"))
-    return _widths(s)
+    return _widths(s.withColumn("part", F.lit("0")))
 
 
 def _widths(sums: DataFrame) -> DataFrame:
     mean = F.col("s") / F.when(F.col("n") == 0, None).otherwise(F.col("n"))
-    per = sums.groupBy("cell", "own").agg(F.max(F.when(F.col("own") == F.col("cluster"), mean)).alias("a"), F.min(F.when(F.col("own") != F.col("cluster"), mean)).alias("b"))
+    per = sums.groupBy("cell", "part", "own").agg(F.max(F.when(F.col("own") == F.col("cluster"), mean)).alias("a"), F.min(F.when(F.col("own") != F.col("cluster"), mean)).alias("b"))
     top = F.greatest("a", "b")
     s = F.when(F.col("a").isNull() | F.col("b").isNull() | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
-    names = F.split("own", "\x01")
-    return per.select("cell", names[0].alias("part"), names[1].alias("cluster"), s.alias("s"))
+    return per.select("cell", "part", F.col("own").alias("cluster"), s.alias("s"))
 
 
 def label_asw(points: DataFrame) -> DataFrame:

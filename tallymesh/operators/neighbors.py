@@ -23,56 +23,94 @@ def normalise(points: DataFrame) -> DataFrame:
     return points.withColumn("norm", norm).withColumn("vec", F.transform("vec", lambda x: x / F.when(F.col("norm") == 0, 1.0).otherwise(F.col("norm")))).drop("norm")
 
 
-def _packed(points: DataFrame, block: int) -> tuple[DataFrame, int]:
-    n = points.count()
-    blocks = max(1, -(-n // block))
-    own = F.pmod(F.xxhash64("cell"), F.lit(blocks)).cast("int").alias("b")
-    return points.select(own, F.struct("cell", "batch", "vec").alias("p")).groupBy("b").agg(F.collect_list("p").alias("ps")), blocks
+def coded(points: DataFrame) -> tuple[DataFrame, list[str]]:
+    """points with an int ``code`` for their batch, and the batches' names in order of code."""
+    names = [r[0] for r in points.select("batch").distinct().orderBy("batch").collect()]  # a row per batch
+    codes = points.sparkSession.createDataFrame([(b, i) for i, b in enumerate(names)], "name string, code int")
+    return points.join(codes, points["batch"].eqNullSafe(codes["name"])).drop("name"), names
+
+
+def packed(points: DataFrame, *key) -> DataFrame:
+    """Blocks (*key, cells, codes, xs) of points (cell, code, vec, *key): flat arrays of numbers."""
+    flat = [F.collect_list("cell").alias("cells"), F.collect_list("code").alias("codes"), F.flatten(F.collect_list(F.col("vec").cast("array<double>"))).alias("xs")]
+    return points.groupBy(*key).agg(*flat)
+
+
+def arrays(batch, row: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells, codes and vectors of the block in a row of an Arrow batch, whose columns start at first."""
+    cells, codes, xs = (batch.column(first + i)[row].values.to_numpy(zero_copy_only=False) for i in range(3))
+    return cells, codes, xs.reshape(len(cells), -1)
+
+
+def _dealt(points: DataFrame, block: int) -> tuple[DataFrame, int]:
+    blocks = max(1, -(-points.count() // block))
+    return packed(points.withColumn("b", F.pmod(F.xxhash64("cell"), F.lit(blocks)).cast("int")), "b"), blocks
+
+
+def _beside(queries: DataFrame, blocks: DataFrame, on: list[str], p: int) -> DataFrame:
+    """Every block of queries beside the blocks of points with the same keys: six columns for `arrays`."""
+    q = queries.select(*on, *[F.col(c).alias(f"q {c}") for c in ("cells", "codes", "xs")])
+    both = q.join(blocks.select(*on, "b", "cells", "codes", "xs") if "b" not in on else blocks, on)
+    return both.select("q cells", "q codes", "q xs", "cells", "codes", "xs").repartition(p)
 
 
 def block_pairs(points: DataFrame, block: int = BLOCK, queries: DataFrame | None = None) -> DataFrame:
-    """(b, qs, ps): every block of queries beside every block of points."""
-    ps, n = _packed(points, block)
-    qs = ps if queries is None else _packed(queries, block)[0]
-    qs = qs.select(F.col("b").alias("qb"), F.col("ps").alias("qs"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("b"))
-    return qs.join(ps, "b").repartition(max(partitions(points.sparkSession), 1), "qb", "b")
+    """Every block of queries beside every block of points, both (cell, code, vec)."""
+    ps, n = _dealt(points, block)
+    qs = ps if queries is None else _dealt(queries, block)[0]
+    qs = qs.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("b"), "cells", "codes", "xs")
+    return _beside(qs, ps, ["b"], partitions(points.sparkSession))
 
 
-def _arrays(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.array([r["cell"] for r in rows]), np.array([r["batch"] for r in rows], dtype=object), np.array([r["vec"] for r in rows], dtype=float)
+_NEAR = "cell long, code int, nbr long, dist double"
 
 
-def knn(points: DataFrame, k: int, metric: str = "euclidean", queries: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
-    """(cell, nbr_batch, slot, nbr, dist): the k nearest of each batch to every cell, itself included.
+def _nearest(pairs: DataFrame, k: int, names: list[str]) -> DataFrame:
+    """(cell, nbr_batch, slot, nbr, dist): the k nearest of each batch over the pairs of blocks; ties go to the smaller id."""
 
-    points: (cell, vec, batch). Ties go to the smaller id. A batch of fewer than k cells gives
-    fewer rows. metric: euclidean, or cosine (of normalised vectors, as euclidean distance).
-    """
-    if metric not in ("euclidean", "cosine"):
-        raise ValueError(f"metric: {metric!r}")
-    pts = points.select("cell", F.col("batch").cast("string").alias("batch"), "vec")
-    qry = None if queries is None else queries.select("cell", F.lit("").alias("batch"), "vec")
-    if metric == "cosine":
-        pts, qry = normalise(pts), None if qry is None else normalise(qry)
+    def run(batches):
+        import pyarrow as pa
 
-    def run(frames):
-        for f in frames:
-            for qs, ps in zip(f["qs"], f["ps"], strict=True):
-                qc, _, q = _arrays(qs)
-                pc, pb, p = _arrays(ps)
-                for batch in np.unique(pb.astype(str)):
-                    own = np.flatnonzero(pb == batch)
+        for f in batches:
+            for i in range(len(f)):
+                (qc, _, q), (pc, pb, p) = arrays(f, i, 0), arrays(f, i, 3)
+                for code in np.unique(pb):
+                    own = np.flatnonzero(pb == code)
                     x, m = p[own], min(k + MARGIN, len(own))
                     rough = (x * x).sum(1)[None, :] - 2 * (q @ x.T)
                     near = np.argpartition(rough, m - 1, axis=1)[:, :m] if m < len(own) else np.tile(np.arange(len(own)), (len(q), 1))
                     d = np.sqrt(((q[:, None, :] - x[near]) ** 2).sum(2))
                     order = np.lexsort((pc[own][near], d), axis=1)[:, : min(k, m)]
                     d, near = np.take_along_axis(d, order, 1), np.take_along_axis(near, order, 1)
-                    yield pd.DataFrame({"cell": np.repeat(qc, d.shape[1]), "nbr_batch": batch, "nbr": pc[own][near].ravel(), "dist": d.ravel()})
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qc, d.shape[1])), pa.array(np.full(d.size, code, np.int32)), pa.array(pc[own][near].ravel()), pa.array(d.ravel())], ["cell", "code", "nbr", "dist"])
 
-    found = block_pairs(pts, block, qry).select("qs", "ps").mapInPandas(run, "cell long, nbr_batch string, nbr long, dist double")
-    w = Window.partitionBy("cell", "nbr_batch").orderBy("dist", "nbr")
-    return found.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k).select("cell", "nbr_batch", "slot", "nbr", "dist")
+    w = Window.partitionBy("cell", "code").orderBy("dist", "nbr")
+    best = pairs.mapInArrow(run, _NEAR).withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k)
+    name = F.element_at(F.array(*[F.lit(x).cast("string") for x in names]), F.col("code") + 1) if names else F.lit(None).cast("string")
+    return best.select("cell", name.alias("nbr_batch"), "slot", "nbr", "dist")
+
+
+def _plain(points: DataFrame, metric: str) -> DataFrame:
+    """(cell, batch, vec) of points, for a metric."""
+    if metric not in ("euclidean", "cosine"):
+        raise ValueError(f"metric: {metric!r}")
+    pts = points.select("cell", F.col("batch").cast("string").alias("batch") if "batch" in points.columns else F.lit("").alias("batch"), "vec")
+    return normalise(pts) if metric == "cosine" else pts
+
+
+def knn(points: DataFrame, k: int, metric: str = "euclidean", queries: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """(cell, nbr_batch, slot, nbr, dist): the k nearest of each batch to every cell, itself included.
+
+    points: (cell, vec, batch). Ties go to the smaller id. A batch of fewer than k cells gives
+    fewer rows. metric: euclidean, or cosine (of normalised vectors, as euclidean distance).
+    """
+    pts, names = coded(_plain(points, metric))
+    qry = None if queries is None else _plain(queries, metric).withColumn("code", F.lit(0))
+    return _nearest(block_pairs(pts, block, qry), k, names)
+
+
+MAX_CENTRES = 100_000  # of all batches, which are broadcast: 40 MB at 50 dimensions
+GROUP = 4  # a group holds so many times the lists that a query looks into
 
 
 def _centroids(x: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
@@ -86,80 +124,110 @@ def _centroids(x: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return centre
 
 
-def _probes(pts: DataFrame, placed: DataFrame, centres: dict, k: int, share: float, trials: int) -> int:
+def fit_lists(points: DataFrame, sizes: dict[int, int], lists: int | None = None, sample: int = 20_000) -> dict[int, np.ndarray]:
+    """Centroids of each batch (code) of points (cell, code, vec), fit side by side on about ``sample`` of its points or fewer."""
+    rate = F.element_at(F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*[F.lit(int(min(1.0, sample / n) * (1 << 20))) for n in sizes.values()])), F.col("code"))
+    drawn = F.pmod(F.xxhash64("cell"), F.lit(1 << 20))
+    # a small batch may have no point under its rate, but it has a first one
+    first = points.groupBy("code").agg(F.min_by("cell", drawn).alias("cell")).withColumn("first", F.lit(True))
+    some = points.join(first, ["code", "cell"], "left").where((drawn <= rate) | F.col("first")).select("code", "cell", "vec")
+    most = max(1, MAX_CENTRES // len(sizes))
+
+    def fit(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("cell")
+        x, n = np.stack(f["vec"].to_numpy()), sizes[int(f["code"].iloc[0])]
+        c = _centroids(x, min(most, lists or max(1, min(int(np.sqrt(n)), len(x)))))
+        return pd.DataFrame({"code": f["code"].iloc[0], "list": np.arange(len(c)), "centre": list(c)})
+
+    found: dict[int, list] = {}
+    for r in some.groupBy("code").applyInPandas(fit, "code int, list int, centre array<double>").orderBy("code", "list").collect():
+        found.setdefault(r["code"], []).append(r["centre"])
+    return {c: np.array(v) for c, v in found.items()}
+
+
+def _ranks(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Lists in order of distance, a row for each vector."""
+    return np.argsort((centres**2).sum(1)[None] - 2 * v @ centres.T, axis=1, kind="stable")
+
+
+def _probes(pts: DataFrame, centres: dict[int, np.ndarray], names: list[str], k: int, share: float, trials: int, n: int) -> int:
     """Lists to look into so that, for some cells, share of the true neighbours of every batch lie there."""
-    n = pts.count()
     some = pts.where(F.pmod(F.xxhash64("cell", F.lit("trial")), F.lit(1 << 20)) <= int(min(1.0, trials / n) * (1 << 20))).orderBy("cell").limit(2 * trials)
-    vec = {r["cell"]: r["vec"] for r in some.select("cell", "vec").collect()}
-    truth = knn(pts, k, queries=some).join(placed.select(F.col("cell").alias("nbr"), "list"), "nbr").select("cell", "nbr_batch", "list")
+    vec = {r["cell"]: np.array(r["vec"], float) for r in some.select("cell", "vec").collect()}
+    found = _nearest(block_pairs(pts, BLOCK, some), k, [str(c) for c in range(len(names))])
+    truth = found.join(pts.select(F.col("cell").alias("nbr"), "vec"), "nbr").select("cell", "nbr_batch", "vec").collect()  # trials x batches x k rows
     need: dict[str, list[int]] = {}
-    for cell, batch, own in truth.collect():  # trials x batches x k rows
-        c = centres[batch]
-        d = ((c - np.array(vec[cell])) ** 2).sum(1)
+    for cell, batch, near in truth:
+        c = centres[int(batch)]
+        own = int(((c - np.array(near)) ** 2).sum(1).argmin())
+        d = ((c - vec[cell]) ** 2).sum(1)
         need.setdefault(batch, []).append(int((d < d[own]).sum()) + 1)
     return max((int(np.quantile(v, share, method="higher")) for v in need.values()), default=1)
 
 
-def knn_ivf(points: DataFrame, k: int, lists: int | None = None, probes: int | None = None, sample: int = 20_000, metric: str = "euclidean", share: float = 0.97, trials: int = 200) -> DataFrame:
-    """Approximate knn, for large tables: cells meet only in the lists of near centroids.
+def knn_ivf(points: DataFrame, k: int, lists: int | None = None, probes: int | None = None, sample: int = 20_000, metric: str = "euclidean", share: float = 0.97, trials: int = 200, queries: DataFrame | None = None, centres: list[np.ndarray] | None = None) -> DataFrame:
+    """Approximate knn, for large tables: cells meet only in the neighbourhood of near centroids.
 
     Each batch has its own lists, whose centroids are fit on at most about ``sample`` of its
-    points; every point is in one list. A query looks into the ``probes`` nearest lists of every
-    batch; where no number is given, into as many as hold ``share`` of the true neighbours of
-    some ``trials`` cells. Lists of more than BLOCK points are cut into blocks. Cells that find
-    fewer than k of a batch that has more are compared with all of it. So every cell has k rows
-    for each batch (all of a smaller one).
+    points (or given: one array for each batch in order of name); every point is in one list. Lists that lie
+    together, of all batches, form a group, and a query goes, with one copy of its vector, to each group that
+    has one of its ``probes`` nearest lists of some batch; there it is compared with all points. Where no number of
+    probes is given, it is as many as hold ``share`` of the true neighbours of some ``trials`` cells. Groups of more
+    than BLOCK points are cut into blocks. Cells that find fewer than k of a batch that has more are
+    compared with all of it. So every cell has k rows for each batch (all of a smaller one).
     """
-    pts = points.select("cell", F.col("batch").cast("string").alias("batch"), "vec")
-    if metric == "cosine":
-        pts = normalise(pts)
-    pts = stage(pts, "points")
-    sizes = {r["batch"]: r["count"] for r in pts.groupBy("batch").count().collect()}  # a row per batch
-    centres = {}
-    for batch, n in sorted(sizes.items()):
-        some = pts.where((F.col("batch") == batch) & (F.pmod(F.xxhash64("cell"), F.lit(1 << 20)) <= int(min(1.0, sample / n) * (1 << 20))))
-        x = np.array([r[0] for r in some.orderBy("cell").select("vec").collect()], float)
-        if not len(x):  # a small batch that no hash chose
-            x = np.array([r[0] for r in pts.where(F.col("batch") == batch).select("vec").limit(sample).collect()], float)
-        centres[batch] = _centroids(x, lists or max(1, min(int(np.sqrt(n)), len(x))))
-    held = pts.sparkSession.sparkContext.broadcast(centres)
-
-    def nearest(frames, width: int, own: bool):
-        for f in frames:
-            v = np.stack(f["vec"].to_numpy())
-            for batch, c in held.value.items():
-                some = np.flatnonzero(f["batch"].to_numpy() == batch) if own else np.arange(len(f))
-                if len(some):
-                    d = (c**2).sum(1)[None] - 2 * v[some] @ c.T
-                    for near in np.argsort(d, axis=1, kind="stable")[:, :width].T:
-                        yield pd.DataFrame({"cell": f["cell"].to_numpy()[some], "batch": batch, "vec": f["vec"].to_numpy()[some], "list": near.astype(np.int32)})
-
-    schema = "cell long, batch string, vec array<double>, list int"
-    placed = stage(pts.mapInPandas(lambda frames: nearest(frames, 1, True), schema), "lists")
-    probes = probes or _probes(pts, placed, centres, k, share, trials)
-    asked = stage(pts.mapInPandas(lambda frames: nearest(frames, probes, False), schema), "asked")
+    pts, names = coded(_plain(points, metric))
+    pts = stage(pts.select("cell", "code", "vec", "batch"), "points")
+    qry = pts if queries is None else stage(_plain(queries, metric).select("cell", F.lit(0).alias("code"), "vec"), "queries")
+    sizes = {r["code"]: r["count"] for r in pts.groupBy("code").count().collect()}  # a row per batch
+    if not sizes:
+        return _nearest(block_pairs(pts, BLOCK, qry), k, names)
+    held = dict(enumerate(centres)) if centres is not None else fit_lists(pts, sizes, lists, sample)
+    probes = probes or _probes(pts, held, names, k, share, trials, sum(sizes.values()))
+    every = np.vstack([held[c] for c in sorted(held)])
+    n_groups = max(1, len(every) // (GROUP * probes * len(held)))
+    middle = _centroids(every, n_groups)
+    groups, at = {}, _ranks(every, middle)[:, 0]
+    for c in sorted(held):
+        groups[c], at = at[: len(held[c])], at[len(held[c]) :]
+    sent = pts.sparkSession.sparkContext.broadcast((held, groups))
+
+    def to_groups(own: bool):
+        def run(batches):
+            import pyarrow as pa
+
+            held, groups = sent.value
+            for b in batches:
+                if not len(b):
+                    continue
+                v, code = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1), b.column(1).to_numpy()
+                if own:
+                    of, group = np.arange(len(b)), np.zeros(len(b), np.int64)
+                    for c in np.unique(code):
+                        some = np.flatnonzero(code == c)
+                        group[some] = groups[c][_ranks(v[some], held[c])[:, 0]]
+                else:
+                    asked = np.hstack([groups[c][_ranks(v, held[c])[:, :probes]] for c in held])
+                    pair = np.unique(np.repeat(np.arange(len(b)), asked.shape[1]) * (n_groups + 1) + asked.ravel())
+                    of, group = pair // (n_groups + 1), pair % (n_groups + 1)
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(of)) for i in range(3)), pa.array(group.astype(np.int32))], ["cell", "code", "vec", "g"])
+
+        return run
+
+    schema = "cell long, code int, vec array<double>, g int"
     part = F.pmod(F.xxhash64("cell"), F.lit(1 << 16)).cast("int")
-    size = placed.groupBy("batch", "list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
-    ps = placed.join(size, ["batch", "list"]).groupBy("batch", "list", F.pmod(part, F.col("cuts")).alias("b")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("ps"))
-    many = asked.groupBy("batch", "list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
-    queries = asked.join(many, ["batch", "list"]).groupBy("batch", "list", F.pmod(part, F.col("cuts")).alias("qb")).agg(F.collect_list(F.struct("cell", "batch", "vec")).alias("qs"))
 
-    def run(frames):
-        for f in frames:
-            for batch, qs, ps_ in zip(f["batch"], f["qs"], f["ps"], strict=True):
-                qc, _, q = _arrays(qs)
-                pc, _, p = _arrays(ps_)
-                d = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (p**2).sum(1)[None] - 2 * q @ p.T, 0))
-                m = min(k, len(p))
-                near = np.argpartition(d, m - 1, axis=1)[:, :m]
-                yield pd.DataFrame({"cell": np.repeat(qc, m), "nbr_batch": batch, "nbr": pc[near].ravel(), "dist": np.take_along_axis(d, near, 1).ravel()})
-
-    found = queries.join(ps, ["batch", "list"]).select("batch", "qs", "ps").mapInPandas(run, "cell long, nbr_batch string, nbr long, dist double")
-    w = Window.partitionBy("cell", "nbr_batch").orderBy("dist", "nbr")
-    found = stage(found.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= k).select("cell", "nbr_batch", "slot", "nbr", "dist"), "found")
-    want = pts.sparkSession.createDataFrame([(b, min(k, n)) for b, n in sizes.items()], "nbr_batch string, want int")
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        rows = stage(rows, name)
+        cut = rows.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+        return packed(rows.join(cut, "g").withColumn("b", F.pmod(part, F.col("cuts"))), "g", "b")
+
+    ps = blocks(pts.select("cell", "code", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(to_groups(True), schema), "placed")
+    qs = blocks(qry.select("cell", "code", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(to_groups(False), schema), "asked")
+    found = stage(_nearest(_beside(qs, ps, ["g"], partitions(pts.sparkSession)), k, names), "found")
+    want = pts.sparkSession.createDataFrame([(names[c], min(k, n)) for c, n in sizes.items()], "nbr_batch string, want int")
     have = found.groupBy("cell", "nbr_batch").count()
-    short = pts.select("cell", "vec").join(F.broadcast(want)).join(have, ["cell", "nbr_batch"], "left").where(F.coalesce("count", F.lit(0)) < F.col("want")).select("cell", "vec", "nbr_batch")
+    short = qry.select("cell", "vec").crossJoin(want).join(have, ["cell", "nbr_batch"], "left").where(F.coalesce("count", F.lit(0)) < F.col("want")).select("cell", "vec", "nbr_batch")  # a row per batch
     short = stage(short, "short")
     for batch in [r[0] for r in short.select("nbr_batch").distinct().collect()]:
         own = short.where(F.col("nbr_batch") == batch)
@@ -255,12 +323,17 @@ def fuzzy_graph(neighbours: DataFrame, width: int | None = None) -> DataFrame:
     return fuzzy_union(memberships(neighbours, width))
 
 
-def mutual_pairs(points: DataFrame, one, two, k: int) -> DataFrame:
-    """(ref, cell): cells of batch two and of batch one that are among each other's k nearest."""
+def mutual_pairs(points: DataFrame, one, two, k: int, centres: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(ref, cell): cells of batch two and of batch one that are among each other's k nearest.
+
+    centres: centroids of either batch; with them neighbours are looked for in lists only.
+    """
     a, b = points.where(F.col("batch") == one), points.where(F.col("batch") == two)
-    there = knn(b, k, queries=a).select(F.col("cell").alias("ref"), F.col("nbr").alias("cell"))
-    back = knn(a, k, queries=b).select(F.col("nbr").alias("ref"), "cell")
-    return there.intersect(back)
+    if centres is None:
+        there, back = knn(b, k, queries=a), knn(a, k, queries=b)
+    else:
+        there, back = knn_ivf(b, k, queries=a, centres=[centres[1]]), knn_ivf(a, k, queries=b, centres=[centres[0]])
+    return there.select(F.col("cell").alias("ref"), F.col("nbr").alias("cell")).intersect(back.select(F.col("nbr").alias("ref"), "cell"))
 
 
 def merge_order(points: DataFrame) -> DataFrame:

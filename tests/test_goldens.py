@@ -284,7 +284,7 @@ def test_config():
         integrate.scvi()
 
 
-@pytest.mark.parametrize("name,value", [("pca_n_power_iter", 3), ("plot_dir", "x"), ("scib_parallel", True), ("hvg_flavor", "cell_ranger"), ("max_leiden_workers", 2), ("harmony_block_size", 0.2)])
+@pytest.mark.parametrize("name,value", [("fastmnn_n_threads", 3), ("plot_dir", "x"), ("scib_parallel", True), ("hvg_flavor", "cell_ranger"), ("max_leiden_workers", 2)])
 def test_options_without_effect_are_refused(name, value):
     with pytest.raises(ValueError, match=name):
         PipelineConfig(**{name: value})
