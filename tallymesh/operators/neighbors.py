@@ -23,11 +23,11 @@ def normalise(points: DataFrame) -> DataFrame:
     return points.withColumn("norm", norm).withColumn("vec", F.transform("vec", lambda x: x / F.when(F.col("norm") == 0, 1.0).otherwise(F.col("norm")))).drop("norm")
 
 
-def coded(points: DataFrame) -> tuple[DataFrame, list[str]]:
-    """points with an int ``code`` for their batch, and the batches' names in order of code."""
-    names = [r[0] for r in points.select("batch").distinct().orderBy("batch").collect()]  # a row per batch
-    codes = points.sparkSession.createDataFrame([(b, i) for i, b in enumerate(names)], "name string, code int")
-    return points.join(codes, points["batch"].eqNullSafe(codes["name"])).drop("name"), names
+def coded(points: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """points with an int ``code`` for their batch, and the batches' sizes by name in order of code."""
+    sizes = {r["batch"]: r["count"] for r in points.groupBy("batch").count().orderBy("batch").collect()}  # a row per batch
+    codes = points.sparkSession.createDataFrame([(b, i) for i, b in enumerate(sizes)], "name string, code int")
+    return points.join(codes, points["batch"].eqNullSafe(codes["name"])).drop("name"), sizes
 
 
 def packed(points: DataFrame, *key) -> DataFrame:
@@ -42,8 +42,8 @@ def arrays(batch, row: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return cells, codes, xs.reshape(len(cells), -1)
 
 
-def _dealt(points: DataFrame, block: int) -> tuple[DataFrame, int]:
-    blocks = max(1, -(-points.count() // block))
+def _dealt(points: DataFrame, block: int, n: int | None = None) -> tuple[DataFrame, int]:
+    blocks = max(1, -(-(points.count() if n is None else n) // block))
     return packed(points.withColumn("b", F.pmod(F.xxhash64("cell"), F.lit(blocks)).cast("int")), "b"), blocks
 
 
@@ -54,9 +54,9 @@ def _beside(queries: DataFrame, blocks: DataFrame, on: list[str], p: int) -> Dat
     return both.select("q cells", "q codes", "q xs", "cells", "codes", "xs").repartition(p)
 
 
-def block_pairs(points: DataFrame, block: int = BLOCK, queries: DataFrame | None = None) -> DataFrame:
-    """Every block of queries beside every block of points, both (cell, code, vec)."""
-    ps, n = _dealt(points, block)
+def block_pairs(points: DataFrame, block: int = BLOCK, queries: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """Every block of queries beside every block of points, both (cell, code, vec); n: how many points, where that is known."""
+    ps, n = _dealt(points, block, n)
     qs = ps if queries is None else _dealt(queries, block)[0]
     qs = qs.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("b"), "cells", "codes", "xs")
     return _beside(qs, ps, ["b"], partitions(points.sparkSession))
@@ -104,9 +104,9 @@ def knn(points: DataFrame, k: int, metric: str = "euclidean", queries: DataFrame
     points: (cell, vec, batch). Ties go to the smaller id. A batch of fewer than k cells gives
     fewer rows. metric: euclidean, or cosine (of normalised vectors, as euclidean distance).
     """
-    pts, names = coded(_plain(points, metric))
+    pts, sizes = coded(_plain(points, metric))
     qry = None if queries is None else _plain(queries, metric).withColumn("code", F.lit(0))
-    return _nearest(block_pairs(pts, block, qry), k, names)
+    return _nearest(block_pairs(pts, block, qry, sum(sizes.values())), k, [*sizes])
 
 
 MAX_CENTRES = 100_000  # of all batches, which are broadcast: 40 MB at 50 dimensions
@@ -176,10 +176,10 @@ def knn_ivf(points: DataFrame, k: int, lists: int | None = None, probes: int | N
     than BLOCK points are cut into blocks. Cells that find fewer than k of a batch that has more are
     compared with all of it. So every cell has k rows for each batch (all of a smaller one).
     """
-    pts, names = coded(_plain(points, metric))
+    pts, found = coded(_plain(points, metric))
+    names, sizes = [*found], dict(enumerate(found.values()))
     pts = stage(pts.select("cell", "code", "vec", "batch"), "points")
     qry = pts if queries is None else stage(_plain(queries, metric).select("cell", F.lit(0).alias("code"), "vec"), "queries")
-    sizes = {r["code"]: r["count"] for r in pts.groupBy("code").count().collect()}  # a row per batch
     if not sizes:
         return _nearest(block_pairs(pts, BLOCK, qry), k, names)
     held = dict(enumerate(centres)) if centres is not None else fit_lists(pts, sizes, lists, sample)
