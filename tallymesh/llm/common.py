@@ -56,7 +56,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, n = data, len(data)
+        self.data, self.offsets, n = data, offsets, len(data)
         space = _SPACE[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True

@@ -30,6 +30,7 @@ UNIT = 1_000_000_000
 TOP = 50
 SHARD = 2048
 GROUPS = 32
+SPREAD = 64  # parts of a language's terms in the join that tells them how many shards there are
 FLUSH = 500_000  # distinct (group, term) that a task sums up before it hands them on
 ENTRY = np.dtype([("term", "<u4"), ("n", "<i8")])
 #: ASCII letters in lower case and bytes of other characters; all else parts terms.
@@ -221,7 +222,8 @@ def audit(documents: DataFrame, least: int = LEAST_DOCS, shard: int = SHARD, blo
     langs = groups.groupBy("lang").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).join(terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("total")), "lang", "left").na.fill(0, ["kept", "total"])
     langs = langs.withColumn("shards", F.greatest(F.ceil(F.col("kept") / shard), F.lit(1)).cast("int"))
     # places ascend with the terms, so ties in a heap fall as they do in the end
-    terms = terms.join(langs.select("lang", "shards"), "lang").select("lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"), "term", "n")
+    spread = langs.select("lang", "shards", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    terms = terms.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SPREAD)).cast("int")).join(spread, ["lang", "salt"]).select("lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"), "term", "n")
     terms = stage(terms.withColumn("place", F.row_number().over(Window.partitionBy("lang", "shard").orderBy("term")) - 1), "terms")
     width = terms.groupBy("lang", "shard").agg(F.count("*").cast("int").alias("width"))
     own = counts.join(terms.select("lang", "term", "shard", "place"), ["lang", "term"]).select("lang", "source", "shard", "place", "n")

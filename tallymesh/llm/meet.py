@@ -3,7 +3,7 @@
 A row is (key, node, fp, more, size): node is met under key and carries a fingerprint of 64 bits,
 or of 128 with more, and a size; two nodes are close when their fingerprints differ in few bits
 and the smaller size is at least a given share of the larger. Rows travel packed, many to a binary value, dealt by a range of keys (a segment); a task sorts one
-segment at a time, so its memory does not follow the input. The two low bits of a key are its
+segment at a time, so its memory does not follow the input. The three low bits of a key are its
 class, which says how many bits of difference still make a candidate.
 
 Keys that many nodes share are found first, on the nodes of every RATE-th hash (this decides
@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 
 from .common import components, mix, partitions, stage, text_bytes
 
-BLOCK = 2048  # nodes of a block of a hot key
+BLOCK = 8192  # nodes of a block of a hot key; a key of N nodes gives N * N / BLOCK rows
 RATE = 16  # hot keys are looked for on one node in so many
-HOT_LIST = 1_000_000  # hot keys that are sent to all tasks, the hottest (12 MB); others stay in one task
+HOT_LIST = 1_000_000  # hot keys that are sent to all tasks, the hottest (12 MB); a key left out has at most that part of all rows
 SEGMENT_ROWS = 1 << 20
 PACK = 640  # rows of one binary value, 23 KB
 FEW = 8  # nodes of a key up to which all its pairs are candidates
 ROW = np.dtype([("key", "<u8"), ("node", "<i8"), ("fp", "<u8"), ("more", "<u8"), ("size", "<u4")])
-_CLASS, _REST = np.uint64(3), np.uint64(0xFFFFFFFFFFFFFFFC)
+_CLASS, _REST = np.uint64(7), np.uint64(0xFFFFFFFFFFFFFFF8)
 
 
 def flips(bits: list[int], t: int) -> np.ndarray:
@@ -197,10 +197,11 @@ def meetings(rows: DataFrame, radii: list[int], share: float, probes=(), every:
     rows = rows.select("node", "fp", "more", F.col("size").cast("long").alias("size"), "keys")
     per = sum(len(flips(bits, t)) for bits, t in probes)
     total = rows.agg(F.coalesce(F.sum(F.size(F.coalesce("keys", F.array().cast("array<long>"))) + per), F.lit(0))).first()[0]
-    p = partitions(spark)
+    p, (hot, blocks) = partitions(spark), _hot(rows, probes, block)
+    total += int((blocks * (blocks - 1)).sum()) * block  # with the copies for their cells
     segments = max(4 * p, -(-total // SEGMENT_ROWS))
-    held = spark.sparkContext.broadcast(_hot(rows, probes, block))
-    width = np.array([*radii, *[128] * (4 - len(radii))])
+    held = spark.sparkContext.broadcast((hot, blocks))
+    width = np.array([*radii, *[128] * (8 - len(radii))])
 
     def send(batches):
         some, n = [], 0
@@ -252,10 +253,10 @@ def rest(met: DataFrame, roots: DataFrame, radii: list[int], share: float, name:
     main = named.groupBy("cell", "root").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(main.select("cell", "main"), "cell")
     # class first: of the cells that two nodes share, the one of most bits decides, once
-    named = named.withColumn("turn", F.shiftleft(F.col("cell").bitwiseAND(F.lit(3)), 60) + F.shiftrightunsigned("cell", 4))
+    named = named.withColumn("turn", F.shiftleft(F.col("cell").bitwiseAND(F.lit(7)), 60) + F.shiftrightunsigned("cell", 4))
     named = named.join(named.groupBy("node").agg(F.collect_set("turn").alias("turns")), "node")  # as many as a node has keys
     strays = named.where("root != main").select("cell", F.col("node").alias("x"), F.col("fp").alias("fx"), F.col("more").alias("mx"), F.col("root").alias("rx"), F.col("size").alias("sx"), F.col("turns").alias("tx"))
-    radius = F.element_at(F.array(*[F.lit(r) for r in [*radii, *[128] * (4 - len(radii))]]), (F.col("cell").bitwiseAND(F.lit(3)) + 1).cast("int"))
+    radius = F.element_at(F.array(*[F.lit(r) for r in [*radii, *[128] * (8 - len(radii))]]), (F.col("cell").bitwiseAND(F.lit(7)) + 1).cast("int"))
     near = (F.bit_count(F.col("fx").bitwiseXOR(F.col("fp"))) + F.bit_count(F.col("mx").bitwiseXOR(F.col("more"))) <= radius) & (F.least("sx", "size") >= share * F.greatest("sx", "size") - 1e-9)
     once = (F.col("root") == F.col("main")) | (F.col("x") < F.col("node"))  # two strays meet twice
     return strays.join(named, "cell").where((F.col("rx") != F.col("root")) & once & near & (F.array_max(F.array_intersect("tx", "turns")) == F.col("turn"))).select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()

@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2) -> DataFram
 
 def _sketch(h: np.ndarray) -> list[int]:
     """Keys of class 1: the SKETCH least of ascending hashes."""
-    return (mix(h[:SKETCH].astype(np.uint64)) & np.uint64(0xFFFFFFFFFFFFFFFC) | np.uint64(1)).view(np.int64).tolist()
+    return (mix(h[:SKETCH].astype(np.uint64)) & np.uint64(0xFFFFFFFFFFFFFFF8) | np.uint64(1)).view(np.int64).tolist()
 
 
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:

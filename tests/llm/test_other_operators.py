@@ -517,6 +517,75 @@ def test_lines_near_a_hot_line(spark, monkeypatch):
         assert sorted(repr((r.doc_id, r.text)) for r in dedup_lines(df).collect()) == want
 
 
+def typos(rng, text, share):
+    return "".join(str(rng.choice(list("abcdefghijklmnopqrstuvwxyz"))) if c != " " and rng.random() < share else c for c in text)
+
+
+def changed_lines(rng, kind):
+    """A line and a near one: the ways in which lines differ, words and scripts alike."""
+    word = lambda lo=3, hi=10: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(lo, hi)))
+    words = lambda n, *size: [word(*size) for _ in range(n)]
+    if kind == "unspaced":
+        a = word(40, 41)
+        i = int(rng.integers(0, 40))
+        return a, a[:i] + "0" + a[i + 1 :]
+    if kind == "chinese":
+        a = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 30)))
+        i = int(rng.integers(0, 30))
+        return a, a[:i] + "\u4e00" + a[i + 1 :]
+    if kind == "url":
+        a = "https://" + word() + ".example/" + "/".join(words(3)) + "?id=" + word(12, 13)
+        return a, a[:-3] + word(3, 4)
+    if kind == "last letters":
+        w = words(15, 4, 9)
+        return " ".join(w), " ".join(x[:-1] + "0" if i % 3 == 0 else x for i, x in enumerate(w))
+    if kind == "plurals":
+        w = words(20, 7, 12)
+        return " ".join(w), " ".join(x + "s" * (i % 2) for i, x in enumerate(w))
+    if kind.startswith("swapped"):
+        n, of = map(int, kind.split()[1:])
+        w = words(of)
+        v = list(w)
+        for i in rng.choice(of, n, replace=False):
+            v[i] = word()
+        return " ".join(w), " ".join(v)
+    n, share = kind.split()
+    a = " ".join(words(int(n)))
+    return a, typos(rng, a, float(share))
+
+
+#: Least share of near pairs that are linked. Where every eighth letter is wrong no run of letters that tells lines apart is left in common often enough.
+RECALL = {"unspaced": 0.95, "chinese": 0.95, "url": 0.95, "last letters": 0.9, "plurals": 0.9, "30 0.05": 0.9, "30 0.08": 0.75, "30 0.12": 0.2, "12 0.05": 0.9, "swapped 1 8": 0.95, "swapped 2 12": 0.9, "swapped 4 24": 0.9, "swapped 8 50": 0.9}
+
+
+def test_recall_of_near_lines(spark):
+    """All kinds together: what share of the pairs of edit similarity 0.8 or more is found, kind by kind."""
+    from tallymesh.llm.lines import dedup_lines
+
+    rng, pairs = np.random.default_rng(11), []
+    for kind in RECALL:
+        made = [changed_lines(rng, kind) for _ in range(120)]
+        pairs += [(kind, a, b) for a, b in made if a != b and edit(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
+    df = spark.createDataFrame([x for i, (_, a, b) in enumerate(pairs) for x in ((2 * i, a), (2 * i + 1, b))], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in dedup_lines(df).collect()}
+    assert all(got[2 * i] == a for i, (_, a, _) in enumerate(pairs))
+    for kind, least in RECALL.items():
+        own = [not got[2 * i + 1] for i, p in enumerate(pairs) if p[0] == kind]
+        assert len(own) > 60 and np.mean(own) >= least, (kind, np.mean(own))
+
+
+def test_numbers_are_not_alike(spark):
+    """Digits and marks count: rows of a table stay, near numbers and marks go."""
+    from tallymesh.llm.lines import dedup_lines
+
+    rows_ = [(1, "12 + 34\n2019\nTotal: 17 EUR"), (2, "99 - 11\n1847\nTotal: 95 (EUR)"), (3, "The meeting of 12 May is over.\n----"), (4, "the meeting of 13 may is over!\n----"), (5, "\n".join(f"{i * 7919 % 100000} {i * 104729 % 100000}" for i in range(40)))]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert [got[i] for i in (1, 2, 3)] == [t for _, t in rows_[:3]] and got[4] == "----"
+    left = got[5].split("\n")
+    for a in left:  # what went was near a line that stays
+        assert all(a == b or edit(a, b) > int(max(len(a), len(b)) * 0.2 + 1e-9) for b in left)
+
+
 def test_removed_lines_are_counted(spark):
     from tallymesh.llm.lines import line_report
 
