@@ -8,7 +8,7 @@ class, which says how many bits of difference still make a candidate.
 
 Keys that many nodes share are found first, on the nodes of every RATE-th hash (this decides
 who does the work, never what is compared). Their nodes are dealt into blocks, and each pair of
-blocks is a cell that another task may take. Within a cell the close nodes are connected by a
+blocks is a cell that another task may take. Where many nodes of a cell are close they are connected by a
 spanning forest, so a group of M copies gives about M candidates and not M squared. Where a
 candidate has to be verified by other means, `rest` adds what a forest may leave out: pairs
 within a cell whose ends the verified links do not connect yet.
@@ -31,6 +31,8 @@ HOT_LIST = 1_000_000  # hot keys that are sent to all tasks, the hottest (12 MB)
 SEGMENT_ROWS = 1 << 20
 PACK = 640  # rows of one binary value, 23 KB
 FEW = 8  # nodes of a key up to which all its pairs are candidates
+SOME = 1024  # nodes of a key up to which all pairs are looked at first; they are candidates if they are no more than
+SPARSE = 4  # times the nodes
 ROW = np.dtype([("key", "<u8"), ("node", "<i8"), ("fp", "<u8"), ("more", "<u8"), ("size", "<u4")])
 _CLASS, _REST = np.uint64(7), np.uint64(0xFFFFFFFFFFFFFFF8)
 
@@ -168,9 +170,8 @@ def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
         us.append(i), vs.append(i + lag)
     for i, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
         own = fp[i : i + n], more[i : i + n], big[i : i + n], int(radius[i]), share
-        if every:
-            u, v = _every(*own)
-        else:
+        u, v = _every(*own) if every or n <= SOME else (None, None)
+        if u is None or not every and len(u) > SPARSE * n:
             u, v, tree = _forest(*own)
             many = np.flatnonzero(np.bincount(tree)[tree] > 2)
             members.append(many + i)

@@ -32,6 +32,7 @@ from .urlrules import host_path
 
 SUPPORT_PAGES = 3  # distinct pages of a host that a template token is on at least
 SHARE = 0.8  # share of an element's pages on which a text must be the same to be template text
+VOTE = 8  # times its text that a marked article counts beside what the page holds elsewhere
 HEAVY = 0.6  # share of the slots' text from which a container is entered
 BROADCAST_TOKENS = 1_000_000  # template and container entries that may be broadcast (about 100 bytes each)
 
@@ -48,6 +49,8 @@ _SCOPE = frozenset("table td th ul ol dl button object caption html body article
 _OUT_TAGS = frozenset("nav footer aside form script style noscript template iframe object svg canvas video audio select button textarea head title dialog menu".split())
 _OUT_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead topbar notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup social share sharing related recommended recommendations widget toolbar pagination pager login search".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: Words that say what a region is where they end its name, whatever stands before them.
+_LAST_WORDS = frozenset("ad ads advert adverts advertisement advertisements sidebar newsletter".split())
 #: Words beside those in names of regions that are out, as in "site-footer" or "related-posts".
 _NEUTRAL_WORDS = frozenset("site main page left right top bottom box wrapper wrap container block bar list lists post posts article articles item items area section inner outer link links primary secondary global header content widget widgets col column row bg form panel group text img icon id js the".split())
 #: Elements that hold regions; names on others, such as headings and paragraphs, say nothing.
@@ -58,7 +61,7 @@ _MAIN_PAIRS = frozenset(("article body", "entry content", "post content", "story
 _PLACES = 8  # siblings told apart by place
 _HEADER = frozenset(("header",))
 
-BODY, OUT, MAIN, ARTICLE, COMMENTS = range(5)
+BODY, MAIN, ARTICLE, OUT, COMMENTS = range(5)
 
 
 def _says(words: list[str], kinds: frozenset) -> bool:
@@ -69,7 +72,8 @@ def _says(words: list[str], kinds: frozenset) -> bool:
 def _region(name: str, raw: str, around: int) -> tuple[int, str]:
     """Kind of region an element starts (or the one around it) and its signature.
 
-    What is out or a comment stays so inside; only outside of these an article can start.
+    What is out or a comment stays so inside; only outside of these an article can start. Ids of
+    sections inside an article are anchors of their headings, which say nothing of the kind.
     """
     names: list[list[str]] = []
     sign, role, hidden = name, "", False
@@ -77,7 +81,7 @@ def _region(name: str, raw: str, around: int) -> tuple[int, str]:
         for key, value in _ATTR.findall(raw):
             key = key.lower()
             value = value.strip("\"'")
-            if key in ("class", "id"):
+            if key == "class" or key == "id" and not (around in (ARTICLE, MAIN) and name == "section"):
                 names += [[w.lower() for w in _WORD.findall(x)] for x in value.split()]
                 if key == "class":
                     sign = f"{name}.{' '.join(sorted(value.split()))}"
@@ -88,9 +92,9 @@ def _region(name: str, raw: str, around: int) -> tuple[int, str]:
     if name in ("html", "body") or around in (OUT, COMMENTS):
         return around, sign
     told = names if name in _CONTAINERS else []
-    if name != "main" and any(_says(x, _COMMENT_WORDS) for x in told):
+    if name != "main" and any(_says(x, _COMMENT_WORDS) or x and x[-1] in _COMMENT_WORDS for x in told):
         return COMMENTS, sign
-    if name in _OUT_TAGS or hidden or role in _OUT_ROLES or any(_says(x, _OUT_WORDS) for x in told if name not in ("article", "main")):
+    if name in _OUT_TAGS or hidden or role in _OUT_ROLES or any(_says(x, _OUT_WORDS) or x and x[-1] in _LAST_WORDS for x in told if name not in ("article", "main")):
         return OUT, sign
     if name == "article":
         return ARTICLE, sign
@@ -262,16 +266,24 @@ def _container(path: int, elements) -> int:
     return path
 
 
+def _mass(found) -> int:
+    return sum(max(0, len(b[2]) - b[3]) for b in found)
+
+
 def assemble(found, elements, template: frozenset = frozenset(), shares: dict | None = None) -> str:
     """The article of one parsed page: the blocks of its slots, joined by newlines.
 
-    Where an article is marked and more than half of it is shared with other pages, those pages
+    Slots compete by their text beside the template, wherever they lie. A mark is a vote: a
+    marked article, and after it a main element, wins where its text counts, VOTE times, for as much as all that
+    lies outside it; a card or teaser that happens to be an article element does not. Where a
+    marked article has less than half of its text of its own, those pages
     are copies of it, not of a template: it stays whole.
     """
     rest = [b for b in found if _token(b[1], b[2]) not in template] if template else found
+    inside = [b for b in found if b[0] in (BODY, MAIN, ARTICLE) and b[4] < 0.8]
     for kind in (ARTICLE, MAIN):
-        own = [b for b in found if b[0] == kind]
-        if own:
+        own, around = [b for b in found if b[0] == kind], [b for b in inside if b[0] < kind and (not template or _token(b[1], b[2]) not in template)]
+        if own and _mass(own) * VOTE >= _mass(around):
             left = [b for b in rest if b[0] == kind]
             if sum(len(b[2]) for b in left) * 2 < sum(len(b[2]) for b in own):
                 left = own

@@ -88,6 +88,31 @@ def test_main_text_of_odd_pages(page, want):
     assert main_text(page or "") == want
 
 
+LONG = "<p>A long sentence of the body that goes on and on.</p>" * 30
+BODY = "\n".join(["A long sentence of the body that goes on and on."] * 30)
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>one</p><div class='reader-comments'><p>nice</p></div><div class='user-comments'>x</div></article>", "one"),
+    ("<article><p>body</p><section id='search'><p>On search trees</p></section><div class='paid-ad'>buy</div><div class='text-ad'>buy</div></article>", "body\nOn search trees"),
+    (f"<div>{LONG}</div><article><h3>Read next: more</h3></article>", BODY), (f"<main>{LONG}<article class='card'>card</article></main>", BODY),
+    (f"<main><p>lead</p><article>{LONG}</article></main>", BODY), (f"<article>{LONG}</article><div>{LONG[:300]}</div>", BODY),
+])
+def test_a_mark_is_a_vote(page, want):
+    from tallymesh.llm.templates import main_text
+
+    assert main_text(page) == want
+
+
+def test_classes_decide_inside_articles(spark):
+    """Marked pages too: what repeats inside the article goes, whatever its names; what one page has stays."""
+    from tallymesh.llm.templates import extract
+
+    pages = [(i, f"http://marked.example/{i}", f"<article><h1>Title {i}</h1><p>Own text number {i} of this page, long enough.</p><div class=zq><p>Follow our channel</p><p>All rights kept</p></div><p>End {i}</p></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {i: f"Title {i}\nOwn text number {i} of this page, long enough.\nEnd {i}" for i in range(6)}
+
+
 def test_template_text_goes(spark):
     from tallymesh.llm.templates import extract
 
