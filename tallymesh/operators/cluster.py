@@ -7,7 +7,6 @@ hull and admissible ranges of the partitions are small tables.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .linalg import slopes
 from ..plans.staging import stage
-from .metrics import adjusted_rand, modularity, silhouettes
+from .metrics import modularity, silhouettes
 
 MAX_EDGES = 60_000_000  # a graph of more edges is not sent to tasks
 
@@ -300,9 +299,15 @@ def embedding_silhouettes(points: DataFrame, labels: DataFrame, sample: int = 10
 
 def stability(runs: DataFrame) -> DataFrame:
     """(gamma, ari): agreement of each resolution's labels (gamma, cell, cluster) with the next one's."""
-    grid = [r[0] for r in runs.select("gamma").distinct().orderBy("gamma").collect()]  # a row per resolution
-    out = [adjusted_rand(runs.where(F.col("gamma") == a), runs.where(F.col("gamma") == b)).select(F.lit(a).alias("gamma"), "ari") for a, b in zip(grid, grid[1:], strict=False)]
-    return reduce(DataFrame.unionByName, out)
+    grid = runs.select("gamma").distinct().withColumn("next", F.lead("gamma").over(Window.orderBy("gamma"))).where("next is not null")
+    both = runs.join(grid, "gamma").select("gamma", "next", "cell", F.col("cluster").alias("x")).join(runs.select(F.col("gamma").alias("next"), "cell", F.col("cluster").alias("y")), ["next", "cell"])
+    table = both.groupBy("gamma", "x", "y").agg(F.count("*").cast("double").alias("n"))
+    pairs = F.sum(F.col("n") * (F.col("n") - 1) / 2)
+    all_ = table.groupBy("gamma").agg(pairs.alias("ij"), F.sum("n").alias("t"))
+    for c, name in (("x", "i"), ("y", "j")):
+        all_ = all_.join(table.groupBy("gamma", c).agg(F.sum("n").alias("n")).groupBy("gamma").agg(pairs.alias(name)), "gamma")
+    expect, half = F.col("i") * F.col("j") / (F.col("t") * (F.col("t") - 1) / 2), (F.col("i") + F.col("j")) / 2
+    return all_.select("gamma", F.when(half == expect, 1.0).otherwise((F.col("ij") - expect) / (half - expect)).alias("ari"))
 
 
 def partition_score(edges: DataFrame, labels: DataFrame, gamma: float, kind: str = "newman") -> DataFrame:

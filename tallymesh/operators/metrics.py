@@ -11,42 +11,62 @@ from pyspark.sql import functions as F
 
 from ..plans.staging import components, partitions, stage
 from .neighbors import BLOCK, arrays, packed
+from .qc import label_codes
+
+
+def simpsons(dist: np.ndarray, code: np.ndarray, perplexity: float, steps: int = 50, tol: float = 1e-5) -> np.ndarray:
+    """Inverse Simpson index of each row's labels under weights exp(-beta d^2) of the given perplexity; code -1: absent."""
+    there = code >= 0
+    x, want = np.where(there, dist * dist, 0.0), math.log2(perplexity)
+    low = np.where(there, x, np.inf).min(1, keepdims=True)
+    x = np.where(there, x - np.where(np.isfinite(low), low, 0.0), np.inf)
+    beta, lo, hi = np.ones(len(x)), np.full(len(x), -np.inf), np.full(len(x), np.inf)
+    open_ = there.sum(1) > 1
+    w = np.zeros_like(x)
+    for _ in range(steps):
+        rows = np.flatnonzero(open_)
+        if not len(rows):
+            break
+        own = np.exp(-beta[rows, None] * x[rows])
+        own /= own.sum(1, keepdims=True)
+        w[rows] = own
+        h = -(own * np.log2(np.where(own > 0, own, 1.0))).sum(1) - want
+        up, down = rows[h > 0], rows[h <= 0]
+        open_[rows[np.abs(h) < tol]] = False
+        lo[up], hi[down] = beta[up], beta[down]
+        with np.errstate(invalid="ignore"):
+            beta[up] = np.where(np.isinf(hi[up]), beta[up] * 2, (beta[up] + hi[up]) / 2)
+            beta[down] = np.where(np.isinf(lo[down]), beta[down] / 2, (beta[down] + lo[down]) / 2)
+    share = np.zeros((len(x), int(code.max(initial=0)) + 1))
+    np.add.at(share, (np.nonzero(there)[0], code[there]), w[there])
+    total = (share * share).sum(1)
+    return np.where(total > 0, 1 / np.where(total > 0, total, 1.0), 1.0)
 
 
 def simpson(dist: np.ndarray, code: np.ndarray, perplexity: float, steps: int = 50, tol: float = 1e-5) -> float:
-    """Inverse Simpson index of labels under weights exp(-beta d^2) of the given perplexity."""
-    if len(dist) <= 1:
-        return 1.0
-    x, want = dist * dist, math.log2(perplexity)
-    beta, lo, hi = 1.0, -math.inf, math.inf
-    for _ in range(steps):
-        w = np.exp(-beta * (x - x.min()))
-        w /= w.sum()
-        h = -(w[w > 0] * np.log2(w[w > 0])).sum() - want
-        if abs(h) < tol:
-            break
-        if h > 0:
-            lo, beta = beta, beta * 2 if math.isinf(hi) else (beta + hi) / 2
-        else:
-            hi, beta = beta, beta / 2 if math.isinf(lo) else (beta + lo) / 2
-    share = np.bincount(code, w)
-    return float(1 / (share @ share))
+    """simpsons of one row."""
+    return float(simpsons(dist[None], np.asarray(code)[None], perplexity, steps, tol)[0])
 
 
 def lisi(neighbours: DataFrame, labels: DataFrame, perplexity: float = 30.0) -> DataFrame:
     """(cell, lisi): neighbours (cell, nbr, dist), labels (cell, label); unlabelled neighbours are left out."""
-    lab = labels.select(F.col("cell").alias("nbr"), F.col("label").cast("string").alias("label")).where("label is not null")
-    per = neighbours.join(lab, "nbr").groupBy("cell").agg(F.collect_list(F.struct("dist", "label")).alias("x"))
+    lab = label_codes(labels.where("label is not null")).select(F.col("cell").alias("nbr"), "code")
+    per = neighbours.join(lab, "nbr").groupBy("cell").agg(F.collect_list("dist").alias("d"), F.collect_list("code").alias("c"))
 
-    def run(frames):
-        for f in frames:
-            out = []
-            for x in f["x"]:
-                _, code = np.unique([v["label"] for v in x], return_inverse=True)
-                out.append(simpson(np.array([v["dist"] for v in x]), code, perplexity))
-            yield pd.DataFrame({"cell": f["cell"], "lisi": out})
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, len(b), 1024):
+                some = b.slice(at, 1024)
+                size = some.column(1).value_lengths().to_numpy(zero_copy_only=False)
+                put = np.arange(size.max(initial=0)) < size[:, None]
+                dist, code = np.zeros(put.shape), np.full(put.shape, -1, np.int64)
+                dist[put] = some.column(1).flatten().to_numpy(zero_copy_only=False)
+                found, code[put] = np.unique(some.column(2).flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(simpsons(dist, code, perplexity))], ["cell", "lisi"])
 
-    return per.mapInPandas(run, "cell long, lisi double")
+    return per.mapInArrow(run, "cell long, lisi double")
 
 
 def lisi_score(per_cell: DataFrame, labels: DataFrame, mixing: bool) -> DataFrame:
@@ -57,33 +77,21 @@ def lisi_score(per_cell: DataFrame, labels: DataFrame, mixing: bool) -> DataFram
     return per_cell.agg(F.avg("lisi").alias("m")).crossJoin(n).select(F.when(F.col("b") <= 1, 1.0).otherwise(x).alias("score"))
 
 
+def chi2_tails(x: np.ndarray, df: int) -> np.ndarray:
+    """Upper tails of the chi-squared law: a closed form for 1 or 2 degrees, then a term for every two more."""
+    half = np.maximum(np.asarray(x, float), 0.0) / 2
+    if df <= 0:
+        return np.ones(len(half))
+    a, out = (0.5, np.array([math.erfc(v) for v in np.sqrt(half)])) if df % 2 else (1.0, np.exp(-half))
+    log = np.log(np.where(half > 0, half, 1.0))
+    while a < df / 2:
+        out = out + np.where(half > 0, np.exp(a * log - half - math.lgamma(a + 1)), 0.0)
+        a += 1
+    return np.minimum(out, 1.0)
+
+
 def chi2_tail(x: float, df: int) -> float:
-    """Upper tail of the chi-squared law, by the regularised incomplete gamma function."""
-    if x <= 0 or df <= 0:
-        return 1.0
-    a, x = df / 2, x / 2
-    front = math.exp(a * math.log(x) - x - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1 / a
-        n = a
-        while abs(term) > abs(total) * 1e-15:
-            n += 1
-            term *= x / n
-            total += term
-        return max(0.0, 1 - total * front)
-    tiny = 1e-300
-    b = x + 1 - a
-    c, d = 1 / tiny, 1 / b
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = 1 / ((an * d + b) or tiny)
-        c = (b + an / c) or tiny
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return min(1.0, h * front)
+    return float(chi2_tails(np.array([x]), df)[0])
 
 
 def kbet_chi2(neighbours: DataFrame, batches: DataFrame) -> DataFrame:
@@ -108,19 +116,26 @@ def kbet_balance(neighbours: DataFrame, batches: DataFrame) -> DataFrame:
     return s.agg(F.max(F.sqrt(F.greatest(F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n")), F.lit(0.0)))).alias("max_std"))
 
 
-def kbet(neighbours: DataFrame, batches: DataFrame, alpha: float = 0.05) -> tuple[float | None, str]:
-    """(acceptance, note): share of cells whose test is not rejected; None where it means nothing."""
+def kbet_pvalues(neighbours: DataFrame, batches: DataFrame) -> DataFrame:
+    """(cell, chi2, k, p): the test of every cell; p is 1 for a single batch and null where neighbours are balanced by construction."""
     n = batches.select("batch").distinct().count()
-    if n <= 1:
-        return 1.0, ""
-    if kbet_balance(neighbours, batches).first()[0] < 0.01:
-        return None, "neighbours are balanced over batches by construction"
+    chi2 = kbet_chi2(neighbours, batches)
+    if n > 1 and kbet_balance(neighbours, batches).first()[0] < 0.01:
+        return chi2.withColumn("p", F.lit(None).cast("double"))
 
     @F.pandas_udf("double")
     def tail(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: chi2_tail(v, n - 1))
+        return pd.Series(chi2_tails(x.to_numpy(), n - 1))
+
+    return chi2.withColumn("p", tail("chi2"))
 
-    return kbet_chi2(neighbours, batches).agg(F.avg((tail("chi2") >= alpha).cast("double"))).first()[0], ""
+
+def kbet(neighbours: DataFrame, batches: DataFrame, alpha: float = 0.05) -> tuple[float | None, str]:
+    """(acceptance, note): share of cells whose test is not rejected; None where it means nothing."""
+    if batches.select("batch").distinct().count() <= 1:
+        return 1.0, ""
+    share = kbet_pvalues(neighbours, batches).agg(F.avg((F.col("p") >= alpha).cast("double"))).first()[0]
+    return share, "" if share is not None else "neighbours are balanced over batches by construction"
 
 
 def graph_connectivity(neighbours: DataFrame, labels: DataFrame) -> DataFrame:

@@ -286,26 +286,34 @@ def bandwidths(dist: np.ndarray, steps: int = 64, tol: float = 1e-5) -> tuple[np
     return rho, mid
 
 
+def bandwidth_table(neighbours: DataFrame, width: int) -> DataFrame:
+    """(cell, rho, sigma): `bandwidths` of each cell's neighbour distances; width: slots a cell has."""
+    per = neighbours.groupBy("cell").agg(F.collect_list("dist").alias("d"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            size = b.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            d = np.full((len(b), width), np.inf)
+            d[np.arange(width) < size[:, None]] = b.column(1).flatten().to_numpy(zero_copy_only=False)
+            rho, sigma = bandwidths(d)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rho), pa.array(sigma)], ["cell", "rho", "sigma"])
+
+    return per.mapInArrow(run, "cell long, rho double, sigma double")
+
+
+def kernel(neighbours: DataFrame, bands: DataFrame, least: float = 1e-8) -> DataFrame:
+    """(i, j, w): 1 up to rho and exp(-(d - rho) / sigma) beyond it, for neighbours (cell, nbr, dist) and bands (cell, rho, sigma)."""
+    near = (F.col("dist") <= F.col("rho")) | (F.col("sigma") <= 0)
+    w = F.when(near, 1.0).otherwise(F.exp(-(F.col("dist") - F.col("rho")) / F.col("sigma")))
+    e = neighbours.where("cell != nbr").join(bands, "cell").select(F.col("cell").alias("i"), F.col("nbr").alias("j"), w.alias("w"))
+    return strongest(e.where(F.col("w") > least))
+
+
 def memberships(neighbours: DataFrame, width: int) -> DataFrame:
     """(i, j, w): directed weights of each cell's neighbours; width: slots a cell has."""
-    per = neighbours.groupBy("cell").agg(F.collect_list(F.struct("dist", "nbr")).alias("x"))
-
-    def run(frames):
-        for f in frames:
-            d = np.full((len(f), width), np.inf)
-            to = np.full((len(f), width), -1, np.int64)
-            for r, x in enumerate(f["x"]):
-                d[r, : len(x)] = [v["dist"] for v in x]
-                to[r, : len(x)] = [v["nbr"] for v in x]
-            rho, sigma = bandwidths(d)
-            near = (d <= rho[:, None]) | (sigma <= 0)[:, None]
-            far = np.where(np.isfinite(d) & ~near, d - rho[:, None], 0.0)
-            w = np.exp(-far / np.where(sigma > 0, sigma, 1.0)[:, None])
-            own = np.repeat(f["cell"].to_numpy(), width).reshape(-1, width)
-            keep = np.isfinite(d) & (to != own) & (w > 1e-8)
-            yield pd.DataFrame({"i": own[keep], "j": to[keep], "w": w[keep]})
-
-    return strongest(per.mapInPandas(run, "i long, j long, w double"))
+    return kernel(neighbours, bandwidth_table(neighbours, width))
 
 
 def fuzzy_union(directed: DataFrame, mix: float = 1.0, least: float = 1e-8) -> DataFrame:

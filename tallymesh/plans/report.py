@@ -40,6 +40,17 @@ def layout_table(res: Result, color: str = "batch") -> DataFrame:
     return xy.join(res.tables["cells"].select("cell", F.col(color).alias("color")), "cell")
 
 
+def picker_layout(layout: DataFrame, pickers: dict[str, DataFrame]) -> DataFrame:
+    """(route, picker, cell, x, y, cluster, k): the layout (route, cell, x, y) beside the clusters (route, cell, cluster) of several pickers.
+
+    k: clusters of the route under that picker. Routes that not every picker has are left out.
+    """
+    both = reduce(DataFrame.unionByName, [c.select("route", "cell", F.col("cluster").cast("string").alias("cluster"), F.lit(name).alias("picker")) for name, c in pickers.items()])
+    k = both.groupBy("route", "picker").agg(F.countDistinct("cluster").alias("k"))
+    full = k.groupBy("route").agg(F.count("*").alias("n")).where(F.col("n") == len(pickers)).select("route")
+    return layout.join(full, "route").join(both, ["route", "cell"]).join(k, ["route", "picker"]).select("route", "picker", "cell", "x", "y", "cluster", "k")
+
+
 def landscape(res: Result) -> DataFrame:
     """(route, gamma, a, b, on_hull, lo, hi, width, picked) of the resolution choice."""
     return res.tables["champ"].orderBy("route", "b")

@@ -144,6 +144,25 @@ def rogue_rollup(s, d):
     return rogue.roll_up(p).select("cluster", _r("mean"), _r("median"), "scored", "skipped")
 
 
+def _by_region(s, d):
+    """Cells by region and market segment: groups for purity."""
+    return src.cells(s, d).select("cell", F.col("label").alias("cluster"), F.col("batch").alias("sample"))
+
+
+_GROUPS = "lab AS (SELECT cell, label::VARCHAR AS cluster, batch AS sample, count(*) OVER (PARTITION BY label, batch) AS n_cells FROM cells)"
+
+
+@_query("SELECT cluster, sample, gene::VARCHAR AS gene, round(ln(sum(m) / (max(n_cells) - 2) + 1), 6) AS mean_expr, round(sum(ln(m + 1)) / (max(n_cells) - 2), 6) AS entropy FROM (SELECT cluster, sample, n_cells, gene, CASE WHEN row_number() OVER (PARTITION BY cluster, sample, gene ORDER BY n DESC) > 2 THEN n ELSE 0 END AS m FROM counts JOIN lab USING (cell) WHERE n_cells > 2) GROUP BY 1, 2, 3", _COUNTS, _CELLS, _GROUPS)
+def trimmed_entropy_by_group(s, d):
+    """Every group's gene table without each gene's two largest cells."""
+    return rogue.trimmed_table(src.counts(s, d), _by_region(s, d), 2).select("cluster", "sample", "gene", _r("mean_expr"), _r("entropy"))
+
+
+@_query()
+def rogue_by_region(s, d):
+    return rogue.per_cluster(src.counts(s, d), _by_region(s, d))
+
+
 # ---------------------------------------------------------------- components
 
 
@@ -231,12 +250,69 @@ def neighbor_recall_ivf(s, d):
     return neighbors.recall(found, truth).select((F.col("recall") >= 0.9).alias("enough")).crossJoin(size)  # a row each
 
 
+@_query()
+def ivf_recall(s, d):
+    """The recall itself, of neighbours of other batches too."""
+    p = _points(s, d)
+    return neighbors.recall(neighbors.batch_balanced(p, 3, "ivf"), neighbors.knn(p, 3))
+
+
 @_query("SELECT i, j, round(max(w), 6) AS w FROM (SELECT i, j, w FROM edges UNION ALL SELECT i, j, w / 2 FROM edges) GROUP BY 1, 2", _EMB, _PAIR, _KNN10, _EDGES)
 def edge_max(s, d):
     e = _edges(s, d)
     return neighbors.strongest(e.unionByName(e.withColumn("w", F.col("w") / 2))).select("i", "j", _r("w"))
 
 
+_BANDS = "bands AS (SELECT cell, min(dist) FILTER (dist > 0) AS rho, avg(dist) AS sigma FROM knn GROUP BY 1)"
+
+
+@_query("SELECT cell AS i, nbr AS j, round(CASE WHEN dist <= rho THEN 1 ELSE exp(-(dist - rho) / sigma) END, 5) AS w FROM knn JOIN bands USING (cell) WHERE cell != nbr", _EMB, _PAIR, _KNN10, _BANDS)
+def fuzzy_given_bandwidths(s, d):
+    """The kernel of the fuzzy graph, at bandwidths that SQL can say."""
+    k = _knn10(s, d)
+    bands = k.groupBy("cell").agg(F.min(F.when(F.col("dist") > 0, F.col("dist"))).alias("rho"), F.avg("dist").alias("sigma"))
+    return neighbors.kernel(k, bands).select("i", "j", _r("w", 5))
+
+
+# ---------------------------------------------------------------- soft clusters and anchors
+
+_UNIT = "u AS (SELECT cell, batch, label, list_transform(vec, lambda x: x / sqrt(list_inner_product(vec, vec))) AS x FROM emb)"
+_CENTRE = "mid AS (SELECT label, list(m ORDER BY k) AS m FROM (SELECT label, k, avg(v) AS m FROM (SELECT label, unnest(vec) AS v, unnest(range(len(vec))) AS k FROM emb) GROUP BY 1, 2) GROUP BY 1), centre AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cluster, list_transform(m, lambda x: x / sqrt(list_inner_product(m, m))) AS y FROM mid)"
+_SOFT = "far AS (SELECT cell, batch, cluster, x, -2 * (1 - list_inner_product(x, y)) / 0.1::DOUBLE AS d FROM u, centre), soft AS (SELECT cell, batch, cluster, x, exp(d - max(d) OVER (PARTITION BY cell)) / sum(exp(d)) OVER (PARTITION BY cell) * exp(max(d) OVER (PARTITION BY cell)) AS r FROM far)"
+
+
+def _soft(s, d):
+    """Memberships in the mean vectors of the labels."""
+    p = _points(s, d)
+    means = p.select("label", F.posexplode("vec").alias("k", "v")).groupBy("label", "k").agg(F.avg("v").alias("m")).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("k", "m"))).alias("ms"))
+    return integrate.memberships(p, [[m["m"] for m in r["ms"]] for r in means.orderBy("label").collect()])  # a row per label
+
+
+@_query("SELECT cluster::INT AS cluster, batch::VARCHAR AS batch, round(sum(r), 5) AS o, round(max(t) * count(*) / (SELECT count(*) FROM u), 5) AS e FROM (SELECT *, sum(r) OVER (PARTITION BY cluster) AS t FROM soft) GROUP BY 1, 2", _EMB, _UNIT, _CENTRE, _SOFT)
+def cluster_batch_masses(s, d):
+    return integrate.mass_table(_soft(s, d)).select("cluster", "batch", _r("o", 5), _r("e", 5))
+
+
+@_query("SELECT cluster::INT AS cluster, batch::VARCHAR AS batch, k::INT AS dim, round(sum(r * v), 5) AS s FROM (SELECT cluster, batch, r, unnest(x) AS v, unnest(range(len(x))) AS k FROM soft) GROUP BY 1, 2, 3", _EMB, _UNIT, _CENTRE, _SOFT)
+def cluster_weighted_sums(s, d):
+    return integrate.weighted_sums(_soft(s, d)).select("cluster", "batch", "dim", _r("s", 5))
+
+
+_NEAR = "near AS (SELECT a.cell, a.batch, b.cell AS nbr, row_number() OVER (PARTITION BY a.cell ORDER BY list_distance(a.x, b.x), b.cell) AS k FROM u a JOIN u b ON a.batch + b.batch = 1)"
+_ANCHORS = "anchor AS (SELECT b.x AS at, list_transform(range(1, len(b.x) + 1), lambda i: a.x[i] - b.x[i]) AS shift FROM near p JOIN near q ON p.cell = q.nbr AND p.nbr = q.cell JOIN u a ON a.cell = p.cell JOIN u b ON b.cell = p.nbr WHERE p.batch = 0 AND p.k <= 5 AND q.k <= 5)"
+
+
+@_query("SELECT cell, k::INT AS dim, round(max(v) + sum(w * h) / sum(w), 5) AS value FROM (SELECT cell, w, unnest(x) AS v, unnest(shift) AS h, unnest(range(len(x))) AS k FROM (SELECT cell, x, shift, exp(-((1 - list_inner_product(x, at)) ** 2) / (2 * 0.3 ** 2)) AS w FROM u, anchor WHERE batch = 1)) GROUP BY 1, 2", _EMB, _UNIT, _NEAR, _ANCHORS)
+def anchor_smoothing(s, d):
+    """Cells of batch 1 moved by the anchors that they have in batch 0."""
+    p = neighbors.normalise(_points(s, d)).withColumn("batch", F.col("batch").cast("string"))
+    pairs = neighbors.mutual_pairs(p, "0", "1", 5)
+    there = pairs.join(p.select(F.col("cell").alias("ref"), F.col("vec").alias("rv")), "ref").join(p.select("cell", "vec"), "cell")
+    anchors = there.select("ref", "cell", "vec", F.zip_with("rv", "vec", lambda x, y: x - y).alias("shift"))
+    moved = integrate.smoothed(p.where("batch = '1'"), anchors, 0.3)
+    return moved.select("cell", F.posexplode("vec").alias("dim", "value")).select("cell", "dim", _r("value", 5))
+
+
 # ---------------------------------------------------------------- metrics
 
 
@@ -267,6 +343,18 @@ def kbet_chi2(s, d):
     return metrics.kbet_chi2(_knn10(s, d), _points(s, d).select("cell", "batch")).select("cell", _r("chi2", 4), "k")
 
 
+@_query("SELECT cell, round(chi2, 4) AS chi2, 10::BIGINT AS k, round(exp(-chi2 / 2), 6) AS p FROM (SELECT cell, sum((coalesce(o, 0) - 10 * p) * (coalesce(o, 0) - 10 * p) / (10 * p)) AS chi2 FROM (SELECT DISTINCT cell FROM emb) c CROSS JOIN (SELECT batch, count(*) / sum(count(*)) OVER () AS p FROM emb GROUP BY 1) b LEFT JOIN (SELECT k.cell, e.batch, count(*) AS o FROM knn k JOIN emb e ON k.nbr = e.cell GROUP BY 1, 2) USING (cell, batch) GROUP BY 1)", _EMB, _PAIR, _KNN10)
+def kbet_pvalues(s, d):
+    """Three batches, so two degrees of freedom, whose upper tail is exp(-x / 2)."""
+    return metrics.kbet_pvalues(_knn10(s, d), _points(s, d).select("cell", "batch")).select("cell", _r("chi2", 4), "k", _r("p"))
+
+
+@_query("SELECT round(avg(CASE WHEN exp(-chi2 / 2) >= 0.05 THEN 1.0::DOUBLE ELSE 0 END), 6) AS acceptance FROM (SELECT cell, sum((coalesce(o, 0) - 10 * p) * (coalesce(o, 0) - 10 * p) / (10 * p)) AS chi2 FROM (SELECT DISTINCT cell FROM emb) c CROSS JOIN (SELECT batch, count(*) / sum(count(*)) OVER () AS p FROM emb GROUP BY 1) b LEFT JOIN (SELECT k.cell, e.batch, count(*) AS o FROM knn k JOIN emb e ON k.nbr = e.cell GROUP BY 1, 2) USING (cell, batch) GROUP BY 1)", _EMB, _PAIR, _KNN10)
+def kbet_acceptance(s, d):
+    p = metrics.kbet_pvalues(_knn10(s, d), _points(s, d).select("cell", "batch"))
+    return p.agg(F.avg((F.col("p") >= 0.05).cast("double")).alias("acceptance")).select(_r("acceptance"))
+
+
 @_query("SELECT round(max(sd), 6) AS max_std FROM (SELECT batch, stddev_pop(coalesce(o, 0)) AS sd FROM (SELECT cell FROM emb) c CROSS JOIN (SELECT DISTINCT batch FROM emb) b LEFT JOIN (SELECT k.cell, e.batch, count(*) AS o FROM knn k JOIN emb e ON k.nbr = e.cell GROUP BY 1, 2) USING (cell, batch) GROUP BY 1)", _EMB, _PAIR, _KNN10)
 def kbet_balance_check(s, d):
     return metrics.kbet_balance(_knn10(s, d), _points(s, d).select("cell", "batch")).select(_r("max_std"))
@@ -354,20 +442,20 @@ def partition_dedupe(s, d):
     return cluster.distinct_partitions(_parts(s, d)).select(_r("gamma"))
 
 
-_AB = "deg AS (SELECT gamma, x.cluster AS c, sum(w) AS vol, sum(CASE WHEN x.cluster = y.cluster THEN w ELSE 0 END) AS inside FROM edges JOIN parts x ON i = x.cell JOIN parts y USING (gamma) WHERE j = y.cell AND gamma < 1.5 GROUP BY 1, 2), ab AS (SELECT gamma, sum(inside) / sum(vol) AS a, sum(vol * vol) / (sum(vol) * sum(vol)) AS b FROM deg GROUP BY 1)"
+_AB = "deg AS (SELECT gamma, x.cluster AS c, sum(w) AS vol, sum(CASE WHEN x.cluster = y.cluster THEN w ELSE 0 END) AS inside FROM edges JOIN parts x ON i = x.cell JOIN parts y USING (gamma) WHERE j = y.cell GROUP BY 1, 2), ab AS (SELECT gamma, sum(inside) / sum(vol) AS a, sum(vol * vol) / (sum(vol) * sum(vol)) AS b FROM deg GROUP BY 1)"
 _HULL = "hull AS (SELECT gamma, a, b FROM ab k WHERE NOT EXISTS (SELECT 1 FROM ab x, ab y WHERE x.b < k.b AND k.b < y.b AND k.a <= x.a + (y.a - x.a) * (k.b - x.b) / (y.b - x.b)) AND NOT EXISTS (SELECT 1 FROM ab x WHERE x.b = k.b AND (x.a > k.a OR x.a = k.a AND x.gamma < k.gamma)))"
-_WIDTH = "cross_ AS (SELECT gamma, a, b, (lead(a) OVER (ORDER BY b) - a) / (lead(b) OVER (ORDER BY b) - b) AS lo, (a - lag(a) OVER (ORDER BY b)) / (b - lag(b) OVER (ORDER BY b)) AS hi FROM hull), rng AS (SELECT gamma, least(greatest(coalesce(lo, 0), 0), 1.4) AS lo, least(greatest(coalesce(hi, 1.4), 0), 1.4) AS hi FROM cross_)"
+_WIDTH = "cross_ AS (SELECT gamma, a, b, (lead(a) OVER (ORDER BY b) - a) / (lead(b) OVER (ORDER BY b) - b) AS lo, (a - lag(a) OVER (ORDER BY b)) / (b - lag(b) OVER (ORDER BY b)) AS hi FROM hull), rng AS (SELECT gamma, least(greatest(coalesce(lo, 0), 0), 1.8) AS lo, least(greatest(coalesce(hi, 1.8), 0), 1.8) AS hi FROM cross_)"
 
 
 def _ranges(s, d):
-    rows = cluster.coefficients(_edges(s, d), _parts(s, d).where("gamma < 1.5")).orderBy("gamma").collect()  # seven partitions
-    found = cluster.ranges([(r["a"], r["b"]) for r in rows], 0.2, 1.4)
+    rows = cluster.coefficients(_edges(s, d), _parts(s, d)).orderBy("gamma").collect()  # nine partitions
+    found = cluster.ranges([(r["a"], r["b"]) for r in rows], 0.2, 1.8)
     return s.createDataFrame([(float(r["gamma"]), f["on_hull"], f["lo"], f["hi"], f["width"]) for r, f in zip(rows, found, strict=True)], "gamma double, on_hull boolean, lo double, hi double, width double")
 
 
 @_query("SELECT round(gamma, 6) AS gamma, round(a, 6) AS a, round(b, 6) AS b FROM ab", _EMB, _PAIR, _KNN10, _EDGES, _PARTS, _AB)
 def champ_coefficients(s, d):
-    return cluster.coefficients(_edges(s, d), _parts(s, d).where("gamma < 1.5")).select(_r("gamma"), _r("a"), _r("b"))
+    return cluster.coefficients(_edges(s, d), _parts(s, d)).select(_r("gamma"), _r("a"), _r("b"))
 
 
 @_query("SELECT round(gamma, 6) AS gamma, gamma IN (SELECT gamma FROM hull) AS on_hull FROM ab", _EMB, _PAIR, _KNN10, _EDGES, _PARTS, _AB, _HULL)
@@ -380,9 +468,16 @@ def champ_widths(s, d):
     return _ranges(s, d).where("on_hull").select(_r("gamma"), _r("lo", 5), _r("hi", 5), _r("width", 5))
 
 
-@_query("SELECT DISTINCT round(0.05 + i * (1.5 - 0.05) / 29, 4)::DOUBLE AS gamma FROM range(30) t(i)")
+@_query("SELECT round(gamma, 6) AS gamma, round(CASE WHEN (i + j) / 2 = i * j / t THEN 1 ELSE (ij - i * j / t) / ((i + j) / 2 - i * j / t) END, 6) AS ari FROM (SELECT gamma, sum(n * (n - 1) / 2) AS ij, sum(n) * (sum(n) - 1) / 2 AS t FROM tab GROUP BY 1) JOIN (SELECT gamma, sum(n * (n - 1) / 2) AS i FROM (SELECT gamma, sum(n) AS n FROM tab GROUP BY gamma, x) GROUP BY 1) USING (gamma) JOIN (SELECT gamma, sum(n * (n - 1) / 2) AS j FROM (SELECT gamma, sum(n) AS n FROM tab GROUP BY gamma, y) GROUP BY 1) USING (gamma)", _EMB, _PARTS, "tab AS (SELECT a.gamma, a.cluster AS x, b.cluster AS y, count(*)::DOUBLE AS n FROM parts a JOIN parts b ON a.cell = b.cell AND round(b.gamma * 5) = round(a.gamma * 5) + 1 GROUP BY 1, 2, 3)")
+def resolution_stability(s, d):
+    return cluster.stability(_parts(s, d)).select(_r("gamma"), _r("ari"))
+
+
+@_query("SELECT DISTINCT round(lo + i * (hi - lo) / 29, 4)::DOUBLE AS gamma FROM range(30) t(i), (SELECT min(p_size) / 20.0::DOUBLE AS lo, max(p_size) / 20.0::DOUBLE AS hi FROM part)")
 def gamma_grid(s, d):
-    return s.createDataFrame([(g,) for g in cluster.gammas(0.05, 1.5, 30)], "gamma double")
+    """Thirty resolutions over the range that a table gives."""
+    r = src.read(s, d, "part").agg((F.min("p_size") / 20.0).alias("lo"), (F.max("p_size") / 20.0).alias("hi")).first()
+    return s.createDataFrame([(g,) for g in cluster.gammas(r["lo"], r["hi"], 30)], "gamma double")
 
 
 @_query("SELECT max_by(x, round(abs((y2 - y1) * (x - x1) - (x2 - x1) * (y - y1)), 9) * 1e4 - x) AS x FROM (SELECT i AS x, s AS y FROM sv), (SELECT min(i) AS x1, max(i) AS x2, min_by(s, i) AS y1, max_by(s, i) AS y2 FROM sv)", _SV)
@@ -499,6 +594,11 @@ def fuzzy_graph(s, d):
     return _small_graph(s, d)
 
 
+@_query("SELECT gene, round(dispersion, 6) AS dispersion, n_batches::BIGINT AS n_batches, rank::INT AS rank FROM (SELECT *, row_number() OVER (ORDER BY n_batches DESC, dispersion DESC, gene) AS rank FROM (SELECT gene, sum(norm) / (SELECT count(DISTINCT batch) FROM cells) AS dispersion, sum(first) AS n_batches FROM ranked GROUP BY 1)) WHERE rank <= 300", _COUNTS, _CELLS, "lib AS (SELECT cell, sum(n) AS lib FROM counts GROUP BY 1), size AS (SELECT batch, count(*) AS c FROM cells GROUP BY 1), st AS (SELECT batch, gene, c, sum(n * 1e4 / lib) AS s, sum((n * 1e4 / lib) ** 2) AS q FROM counts JOIN lib USING (cell) JOIN cells USING (cell) JOIN size USING (batch) GROUP BY 1, 2, 3), disp AS (SELECT batch, gene, ln(1 + s / c) AS mean, ln((q - s * s / c) / (c - 1) / (s / c)) AS disp FROM st WHERE c > 1 AND (q - s * s / c) / (c - 1) > 0), bin AS (SELECT *, greatest(ceil(CASE WHEN max(mean) OVER w > min(mean) OVER w THEN (mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w) * 20 ELSE 0 END), 1) AS bin FROM disp WINDOW w AS (PARTITION BY batch)), norm AS (SELECT batch, gene, CASE WHEN stddev_samp(disp) OVER b > 0 THEN (disp - avg(disp) OVER b) / stddev_samp(disp) OVER b WHEN count(*) OVER b = 1 THEN 1 ELSE 0 END AS norm FROM bin WINDOW b AS (PARTITION BY batch, bin)), ranked AS (SELECT gene, norm, (row_number() OVER (PARTITION BY batch ORDER BY norm DESC, gene) <= 300)::INT AS first FROM norm)")
+def hvg_seurat(s, d):
+    return rogue.dispersed_genes(qc.lognorm(src.counts(s, d)), src.cells(s, d), 300).select("gene", _r("dispersion"), "n_batches", "rank")
+
+
 @_query()
 def hvg_seurat_v3(s, d):
     return rogue.variable_genes(src.counts(s, d), src.cells(s, d), 300)
@@ -511,6 +611,19 @@ def pca_auto(s, d):
     return linalg.pca(qc.lognorm(counts).join(top.select("gene"), "gene", "left_semi"), cells)["emb"]
 
 
+@_query(f"SELECT {_N}::BIGINT AS n_cells, round(sum(value * value) / ({_N} - 1), 4) AS total_variance FROM norm", _COUNTS, _CELLS, _NORM)
+def sparse_svd_variance(s, d):
+    """Components of the log counts as they are; the variance that they share out."""
+    cells = src.cells(s, d)
+    found = linalg.sparse_svd(qc.lognorm(src.counts(s, d)), cells, 20)
+    return found["emb"].agg(F.count("*").alias("n_cells")).withColumn("total_variance", F.round(F.lit(found["total_variance"]), 4))
+
+
+@_query()
+def sparse_svd_values(s, d):
+    return linalg.sparse_svd(qc.lognorm(src.counts(s, d)), src.cells(s, d), 50)["sv"]
+
+
 @_query()
 def harmony_corrected(s, d):
     return integrate.harmony(_points(s, d), theta=4.0, max_iter=5)

@@ -334,3 +334,218 @@ def test_category_scores_and_pick(spark):
     assert r["a"] == pytest.approx((0.35 * 0.5 + 0.45) / 0.8) and r["b"] is None
     assert metrics.pick_route(m, ["b", "a"]).first().route == "b"
     assert metrics.pick_route(m.where("metric != 'mean'"), ["b", "a"]).first().route == "a"
+
+
+# ---------------------------------------------------------------- the steps over partitions against plain arrays
+
+
+def entries(spark, x):
+    i, j = np.nonzero(x)
+    v = spark.createDataFrame([(int(a), int(b), float(x[a, b])) for a, b in zip(i, j, strict=True)], "cell long, gene long, value double")
+    return v, spark.range(len(x)).withColumnRenamed("id", "cell")
+
+
+@pytest.mark.parametrize("partitions,fill", [(1, 1 << 22), (7, 500)])
+def test_sparse_svd(spark, monkeypatch, partitions, fill):
+    """Whatever the partitions and stretches: values, loadings and projections of the matrix as it is."""
+    rng = np.random.default_rng(3)
+    x = rng.poisson(0.3, (150, 90)) * rng.gamma(2, 1, (1, 90))
+    x[3] = 0  # a cell without entries
+    monkeypatch.setattr(linalg, "FILL", fill)
+    monkeypatch.setattr(linalg, "GENES", 32)
+    v, cells = entries(spark, x)
+    got = linalg.sparse_svd(v.repartition(partitions), cells, 12)
+    u, s, w = np.linalg.svd(x, full_matrices=False)
+    assert [r.s for r in got["sv"].orderBy("i").collect()] == pytest.approx(s[:12], rel=1e-3)
+    e = np.array([r.vec for r in got["emb"].orderBy("cell").collect()])
+    assert e.shape == (150, 12) and np.abs(e[:, :4]) == pytest.approx(np.abs(u[:, :4] * s[:4]), abs=0.05 * s[0] / 10)
+    assert got["total_variance"] == pytest.approx((x * x).sum() / 149)
+    load = {r.gene: r.vec for r in got["loadings"].collect()}
+    m = np.array([load[g] for g in sorted(load)])
+    assert m.T @ m == pytest.approx(np.eye(12), abs=1e-9) and (m[np.abs(m).argmax(0), np.arange(12)] > 0).all()
+
+
+def test_components_of_many_genes(spark):
+    """20,000 genes; scores are clipped and centred without spelling zeros out."""
+    rng = np.random.default_rng(4)
+    n, g = 120, 20_000
+    group = rng.integers(0, 3, n)
+    x = rng.poisson(0.02 + 0.4 * (np.arange(g)[None] % 3 == group[:, None]) * (rng.random(g) < 0.05)[None], (n, g)).astype(float)
+    v, cells = entries(spark, x)
+    got = linalg.pca(v, cells, 20, max_value=4.0)
+    x = x[:, x.any(0)]
+    z = np.clip((x - x.mean(0)) / x.std(0, ddof=1), -4, 4)
+    s = np.linalg.svd(z)[1]
+    assert [r.s for r in got["sv"].orderBy("i").collect()] == pytest.approx(s[:20], rel=0.01)
+    assert got["total_variance"] == pytest.approx((z * z).sum() / (n - 1)) and got["loadings"].count() == x.shape[1]
+    e = np.array([r.vec for r in got["emb"].orderBy("cell").collect()])
+    assert (e * e).sum(0) == pytest.approx(s[:20] ** 2, rel=0.02)
+
+
+def two_sided(n=150, d=8, offset=1.5):
+    rng, rows = np.random.default_rng(2), []
+    for c in (-3, 3):
+        for b in (0, 1):
+            v = rng.normal(0, 0.6, (n, d))
+            v[:, 0] += c
+            v[:, 1] += offset * b
+            rows += [(x, str(b)) for x in v[: n // (1 + b)]]
+    return rows
+
+
+@pytest.mark.parametrize("cells", [50_000, 40])
+def test_block_update(spark, monkeypatch, cells):
+    """One block after another, over one partition or many: the objective falls, and ends no higher than that of all cells at once."""
+    monkeypatch.setattr(integrate, "CELLS", cells)
+    p, seen = pts(spark, two_sided()), {}
+    for size in (0.05, 1.0):
+        seen[size] = []
+        out = integrate.harmony(p, theta=2.0, n_clusters=6, block_size=size, max_iter=1, trace=seen[size])
+        assert out.count() == p.count() and out.columns == ["cell", "vec", "batch"]
+    assert seen[0.05][-1] <= seen[1.0][-1] + 1e-3 * abs(seen[1.0][-1])
+    assert seen[0.05][-1] < seen[0.05][1]
+    with pytest.raises(ValueError, match="block_size"):
+        integrate.harmony(p, block_size=0.0)
+    assert PipelineConfig(harmony_block_size=0.2, pca_n_power_iter=3, pca_random_state=1).harmony_block_size == 0.2
+
+
+def test_seeding_sees_all_cells(spark):
+    """Far groups are found wherever they lie, and the same centres whatever the partitions."""
+    rng = np.random.default_rng(5)
+    middle = np.linalg.qr(rng.normal(size=(9, 9)))[0]
+    size = [400, 300, 200, 3, 3, 2]  # three groups of a few cells
+    x = np.vstack([m + rng.normal(0, 0.02, (n, 9)) for m, n in zip(middle, size, strict=False)])
+    p = pts(spark, [(v, "0") for v in x]).select("cell", "vec")
+    a, b = (integrate.seeded(p.repartition(n), 6, seed=1) for n in (1, 5))
+    assert a == pytest.approx(b, abs=1e-6)
+    assert sorted((a @ middle[:6].T).argmax(1)) == list(range(6)) and (a @ middle[:6].T).max(1).min() > 0.99
+
+
+def test_mutual_pairs_in_lists(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(1500, 8))
+    rows = [(v, "one") for v in base[:900]] + [(v + 0.1, "two") for v in base[600:]]
+    p = pts(spark, rows)
+    lists = tuple(integrate._lists(p.where(f"batch = '{b}'"), n) for b, n in (("one", 900), ("two", 900)))
+    truth = {tuple(r) for r in neighbors.mutual_pairs(p, "one", "two", 10).collect()}
+    found = {tuple(r) for r in neighbors.mutual_pairs(p, "one", "two", 10, lists).collect()}
+    assert len(truth & found) >= 0.95 * len(truth) and len(found - truth) <= 0.05 * len(truth)
+    whole = integrate.fast_mnn(p, 10, indexed=100).orderBy("cell").collect()
+    exact = integrate.fast_mnn(p, 10).orderBy("cell").collect()
+    gap = [np.linalg.norm(np.array(a.vec) - np.array(b.vec)) for a, b in zip(whole, exact, strict=True)]
+    assert np.quantile(gap, 0.95) < 0.05
+
+
+@pytest.mark.parametrize("block", [8192, 7])
+def test_smoothing_is_the_weighted_mean(spark, monkeypatch, block):
+    monkeypatch.setattr(integrate, "SMOOTHED", block)
+    rng = np.random.default_rng(7)
+    x, a, shift = (rng.normal(size=(n, 5)) for n in (40, 5000, 5000))
+    x, a = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, a))
+    cells = pts(spark, [(v, "b") for v in x])
+    anchors = spark.createDataFrame([(i, i, u.tolist(), v.tolist()) for i, (u, v) in enumerate(zip(a, shift, strict=True))], "ref long, cell long, vec array<double>, shift array<double>")
+    got = np.array([r.vec for r in integrate.smoothed(cells, anchors, 0.05).orderBy("cell").collect()])
+    e = -((1 - x @ a.T) ** 2) / (2 * 0.05**2)
+    w = np.exp(e - e.max(1, keepdims=True))
+    assert got == pytest.approx(x + w @ shift / w.sum(1, keepdims=True), abs=1e-9)
+
+
+def test_lists_answer_other_cells(spark):
+    rng = np.random.default_rng(9)
+    p = pts(spark, [(v, "ab"[i % 2]) for i, v in enumerate(rng.normal(size=(1200, 6)))])
+    q = spark.createDataFrame([(10_000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(50, 6)))], "cell long, vec array<double>")
+    found, truth = neighbors.knn_ivf(p, 5, queries=q), neighbors.knn(p, 5, queries=q)
+    assert neighbors.recall(found, truth).first()[0] >= 0.9 and found.count() == truth.count() == 500
+
+
+def test_loess_has_one_form(spark):
+    """Vertices and Hermite pieces at every size; singular neighbourhoods are widened."""
+    rng = np.random.default_rng(10)
+    x = np.sort(rng.uniform(0, 4, 3000))
+    y = np.sin(x) + rng.normal(0, 0.05, 3000)
+    fit = rogue.loess(x, y, x, 0.5)
+    assert np.abs(fit - np.sin(x)).max() < 0.05
+    assert rogue.loess(x, y, x[:7], 0.5) == pytest.approx(fit[:7], abs=1e-12)  # where it is evaluated changes nothing
+    direct, _ = rogue._fitted(x, y, x[::100], 0.5, 2)
+    assert fit[::100] == pytest.approx(direct, abs=0.01)
+    tied = np.repeat([0.0, 1.0, 2.0], [50, 3, 47])
+    assert rogue.loess(tied, 2 * tied + 1, tied, 0.3) == pytest.approx(2 * tied + 1, abs=1e-6)
+    assert rogue.loess(np.ones(9), np.arange(9.0), np.ones(2), 0.5).tolist() == [4.0, 4.0]
+
+
+def purity(counts, n_cells, drop=2, k=45.0, min_cells=10):
+    """The same steps on one group's counts in pandas."""
+    import pandas as pd
+
+    g = counts.groupby("gene")["n"]
+    keep = g.transform("size") >= min(min_cells, n_cells)
+    g = counts[keep].groupby("gene")["n"]
+
+    def table(total, logs, n):
+        return pd.DataFrame({"gene": total.index, "mean_expr": np.log(total.to_numpy() / n + 1.0), "entropy": logs.to_numpy() / n})
+
+    first = rogue.fit_entropy(table(g.sum(), g.agg(lambda v: np.log1p(v).sum()), n_cells), 0.5)
+    chosen = set(first.loc[first["p_adj"] < 0.05, "gene"])
+    if chosen:
+        big = counts[keep & counts["gene"].isin(chosen)].sort_values(["gene", "n"], ascending=[True, False])
+        rest = big[big.groupby("gene").cumcount() >= drop].groupby("gene")["n"]
+        trimmed = table(rest.sum(), rest.agg(lambda v: np.log1p(v).sum()), n_cells - drop)
+        trimmed = trimmed[trimmed["mean_expr"] > first["mean_expr"].min()]
+        first = rogue.fit_entropy(pd.concat([first[~first["gene"].isin(chosen)][["gene", "mean_expr", "entropy"]], trimmed]), 0.5)
+    return rogue.score_table(first, k), len(chosen)
+
+
+def test_purity_from_gene_tables(spark):
+    rng = np.random.default_rng(11)
+    mu = rng.gamma(2, 1.5, 120)
+    x = rng.poisson(mu, (90, 120)).astype(float)
+    x[:40, :6] *= rng.integers(0, 8, (40, 6))  # genes that spread widely
+    rows = [(i, j, float(v)) for i, r in enumerate(x) for j, v in enumerate(r) if v]
+    counts = spark.createDataFrame(rows, "cell long, gene long, n double")
+    of = [("big", "s") if i < 60 else ("few", "t") if i < 84 else ("tiny", "s") for i in range(90)] + [("bare", "s")] * 12
+    labels = spark.createDataFrame([(i, *g) for i, g in enumerate(of)], "cell long, cluster string, sample string")
+    got = {r.cluster: r for r in rogue.per_cluster(counts, labels).collect()}
+    assert (got["tiny"].score, got["tiny"].note, got["tiny"].n_cells) == (None, "small", 6)
+    assert (got["bare"].score, got["bare"].note) == (None, "failed: too few genes")
+    frame = counts.toPandas()
+    seen = 0
+    for name, lo, hi in (("big", 0, 60), ("few", 60, 84)):
+        want, n = purity(frame[(frame["cell"] >= lo) & (frame["cell"] < hi)].assign(gene=frame["gene"].astype(str)), hi - lo)
+        seen += n
+        assert got[name].score == pytest.approx(want, abs=1e-9) and got[name].note == ""
+    assert seen  # the trimmed refit took place
+    t = rogue.fit_entropy(qc.entropy_table(counts, 90).toPandas(), adjusted=False)
+    assert (t["p_adj"] == t["p"]).all()
+
+
+def test_tails_and_indices_of_many_rows():
+    x = np.array([0.0, 0.1, 2.0, 9.0, 50.0])
+    for df in (1, 2, 3, 8, 11):
+        v = np.linspace(1e-9, 400, 400_001)
+        density = v ** (df / 2 - 1) * np.exp(-v / 2) / (2 ** (df / 2) * math.gamma(df / 2))
+        for t in x[2:]:
+            tail = density[v >= t].sum() * (v[1] - v[0])
+            assert metrics.chi2_tails(np.array([t]), df)[0] == pytest.approx(tail, abs=2e-3)
+    assert metrics.chi2_tails(x, 0).tolist() == [1.0] * 5
+    d, c = np.array([[1.0, 1, 1, 1], [0.5, 2, 0, 0], [3, 0, 0, 0]]), np.array([[0, 1, 2, 3], [1, 0, -1, -1], [5, -1, -1, -1]])
+    many = metrics.simpsons(d, c, 2.0)
+    assert many[0] == pytest.approx(4.0) and many[2] == 1.0
+    assert many[1] == pytest.approx(metrics.simpson(np.array([0.5, 2]), np.array([1, 0]), 2.0))
+
+
+def test_picker_layout(spark):
+    from tallymesh.plans.report import picker_layout
+
+    xy = spark.createDataFrame([(r, i, float(i), -float(i)) for r in ("a", "b") for i in range(4)], "route string, cell long, x double, y double")
+    knee = spark.createDataFrame([(r, i, i % 2) for r in ("a", "b") for i in range(4)], "route string, cell long, cluster int")
+    champ = spark.createDataFrame([("a", i, i) for i in range(4)], "route string, cell long, cluster int")
+    got = picker_layout(xy, {"knee": knee, "champ": champ}).collect()
+    assert {(r.route, r.picker, r.k) for r in got} == {("a", "knee", 2), ("a", "champ", 4)} and len(got) == 8
+
+
+def test_label_sources(spark):
+    from tallymesh.plans.pipeline import given_labels
+
+    cells = spark.createDataFrame([(1, "x", "kind")], "cell long, label string, `my label` string")
+    pick = lambda key: given_labels(PipelineConfig(label_key=key), cells)
+    assert pick("my label").first().label == "kind" and pick("other").first().label == "x" and pick(None) is None
