@@ -142,13 +142,18 @@ def _forest(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, sha
 
 
 def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-    us, vs = [], []
-    at = np.arange(len(fp))
+    """(u, v), u < v: positions of all close pairs; in order of size, only those near in size are looked at."""
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    order = np.argsort(size, kind="stable")
+    fp, more, size = fp[order], more[order], size[order]
     for i in range(0, len(fp), 256):
-        near = _close(fp, more, size, at[i : i + 256, None], at[None, :], radius, share)
-        u, v = np.nonzero(near & (at[None, :] > at[i : i + 256, None]))
-        us.append(u + i), vs.append(v)
-    return np.concatenate(us), np.concatenate(vs)
+        last = min(i + 256, len(fp))
+        end = int(np.searchsorted(size, size[last - 1] / share + 1e-6, "right")) if share > 0 else len(fp)
+        at, to = np.arange(i, last), np.arange(i, end)
+        u, v = np.nonzero(_close(fp, more, size, at[:, None], to[None, :], radius, share) & (to[None, :] > at[:, None]))
+        us.append(order[u + i]), vs.append(order[v + i])
+    u, v = np.concatenate(us), np.concatenate(vs)
+    return np.minimum(u, v), np.maximum(u, v)
 
 
 def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
