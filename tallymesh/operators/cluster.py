@@ -1,7 +1,8 @@
 """Graph clustering and the choice of its resolution.
 
-A clustering sweep sends one graph to all tasks and runs one resolution per task; scores,
-hull and admissible ranges of the partitions are small tables.
+A clustering sweep sends one graph to all tasks and runs one resolution per task; a graph of more edges
+than that allows is contracted over its partitions first. Scores, hull and admissible ranges of the
+partitions are small tables.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from .linalg import slopes
 from ..plans.staging import stage
 from .metrics import modularity, silhouettes
 
-MAX_EDGES = 60_000_000  # a graph of more edges is not sent to tasks
+MAX_EDGES = 60_000_000  # edges and nodes of a graph that is sent to tasks (1.4 GB)
 
 
 class _Graph:
@@ -126,18 +127,55 @@ def graph_arrays(edges: DataFrame, cells: DataFrame) -> tuple[np.ndarray, np.nda
     return ids, np.searchsorted(ids, i[order]), np.searchsorted(ids, j[order]), w[order].astype(float)
 
 
+def contracted(edges: DataFrame, cells: DataFrame, gamma: float, limit: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(edges, nodes): the graph (i, j, w) with like nodes merged until it has ``limit`` edges and nodes at most; nodes: (cell, node).
+
+    In a round every node picks the neighbour whose company gains most at the resolution gamma; by
+    a coin of the round half of the nodes stay, and those of the other half that picked one of them join it. A graph
+    that is small enough comes back as it is; one in which nothing gains any more and that is still too large is an error.
+    """
+    nodes, e, idle = cells.select("cell", F.col("cell").alias("node")), edges.select("i", "j", F.col("w").cast("double").alias("w")), 0
+    for turn in range(1000):
+        size = e.count() + nodes.select("node").distinct().count()
+        if size <= limit:
+            return e, nodes
+        deg = stage(e.groupBy("i").agg(F.sum("w").alias("d")), "degrees")
+        total = deg.agg(F.sum("d")).first()[0] or 1.0
+        both = e.where("i != j").join(deg.withColumnRenamed("d", "di"), "i").join(deg.select(F.col("i").alias("j"), F.col("d").alias("dj")), "j")
+        gain = F.col("w") - gamma * F.col("di") * F.col("dj") / total
+        best = both.where(gain > 0).groupBy("i").agg(F.max_by("j", F.struct(gain.alias("gain"), F.xxhash64(F.least("i", "j"), F.greatest("i", "j"), F.lit(turn)))).alias("to"))
+        coin = lambda c, t=turn: F.pmod(F.xxhash64(c, F.lit(seed), F.lit(t)), F.lit(2))
+        joins = stage(best.where((coin("i") == 0) & (coin("to") == 1)), "joins")
+        idle = idle + 1 if joins.isEmpty() else 0
+        if idle > 8:
+            break
+        i, j = (joins.select(F.col("i").alias(c), F.col("to").alias(f"to {c}")) for c in ("i", "j"))
+        moved = e.join(i, "i", "left").join(j, "j", "left").select(F.coalesce("to i", "i").alias("i"), F.coalesce("to j", "j").alias("j"), "w")
+        e = stage(moved.groupBy("i", "j").agg(F.sum("w").alias("w")), "contracted")
+        nodes = stage(nodes.join(joins.select(F.col("i").alias("node"), "to"), "node", "left").select("cell", F.coalesce("to", "node").alias("node")), "nodes")
+    raise ValueError(f"{size} edges and nodes, more than the {limit} that are sent to tasks, and no two of them belong together")
+
+
 def sweep(edges: DataFrame, cells: DataFrame, grid: list[float], iterations: int = 2, seed: int = 0) -> DataFrame:
-    """(gamma, cell, cluster) at every resolution of the grid. edges: (i, j, w) both ways."""
+    """(gamma, cell, cluster) at every resolution of the grid. edges: (i, j, w) both ways.
+
+    A graph of more than MAX_EDGES is contracted at the highest resolution, whose communities are the smallest.
+    """
     spark = edges.sparkSession
-    held = spark.sparkContext.broadcast(graph_arrays(edges, cells))
+    edges, nodes = contracted(edges, cells, max(grid), MAX_EDGES, seed)
+    held = spark.sparkContext.broadcast(graph_arrays(edges, nodes.select(F.col("node").alias("cell")).distinct()))
 
     def run(frames):
         ids, i, j, w = held.value
         for f in frames:
             for gamma in f["gamma"]:
-                yield pd.DataFrame({"gamma": gamma, "cell": ids, "cluster": leiden(len(ids), i, j, w, gamma, iterations, seed)})
+                yield pd.DataFrame({"gamma": gamma, "node": ids, "cluster": leiden(len(ids), i, j, w, gamma, iterations, seed)})
 
-    return spark.createDataFrame([(float(g),) for g in grid], "gamma double").repartition(len(grid)).mapInPandas(run, "gamma double, cell long, cluster int")
+    found = spark.createDataFrame([(float(g),) for g in grid], "gamma double").repartition(len(grid)).mapInPandas(run, "gamma double, node long, cluster int")
+    found = stage(found.join(nodes, "node").select("gamma", "cell", "cluster"), "found")
+    size = found.groupBy("gamma", "cluster").agg(F.count("*").alias("n"))  # clusters are numbered by their cells
+    size = size.withColumn("rank", (F.row_number().over(Window.partitionBy("gamma").orderBy(F.desc("n"), "cluster")) - 1).cast("int"))
+    return found.join(size.drop("n"), ["gamma", "cluster"]).select("gamma", "cell", F.col("rank").alias("cluster"))
 
 
 def distinct_partitions(labels: DataFrame) -> DataFrame:

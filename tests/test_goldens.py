@@ -233,6 +233,22 @@ def test_leiden_and_resolution(spark):
     assert best["curve"].where("picked").count() == 1
 
 
+def test_large_graphs_are_contracted(spark, monkeypatch):
+    """A graph beyond the limit: merged over its partitions first, with the same two clusters in the end."""
+    p, e = two_blobs(spark)
+    whole = e.count() + 200
+    small, nodes = cluster.contracted(e, p, 1.0, whole // 4)
+    assert small.count() + nodes.select("node").distinct().count() <= whole // 4
+    assert nodes.count() == 200 and small.agg({"w": "sum"}).first()[0] == pytest.approx(e.agg({"w": "sum"}).first()[0])
+    side = {r.cell: r.node for r in nodes.collect()}
+    assert not {side[c] for c in range(100)} & {side[c] for c in range(100, 200)}
+    monkeypatch.setattr(cluster, "MAX_EDGES", whole // 4)
+    lab = {r.cell: r.cluster for r in cluster.sweep(e, p, [0.3]).collect()}
+    assert len({lab[i] for i in range(100)}) == 1 and len({lab[i] for i in range(100, 200)}) == 1 and lab[0] != lab[150]
+    with pytest.raises(ValueError, match="belong together"):
+        cluster.contracted(e, p, 1e9, 10)
+
+
 def test_embedding_silhouettes_and_parsimony(spark):
     p, _ = two_blobs(spark, 120)
     rows = [(g, i, c) for i in range(120) for g, c in ((0.1, 0), (0.5, int(i >= 60)), (1.0, i % 3))]
