@@ -31,8 +31,7 @@ HOT_LIST = 1_000_000  # hot keys that are sent to all tasks, the hottest (12 MB)
 SEGMENT_ROWS = 1 << 20
 PACK = 640  # rows of one binary value, 23 KB
 FEW = 8  # nodes of a key up to which all its pairs are candidates
-SOME = 1024  # nodes of a key up to which all pairs are looked at first; they are candidates if they are no more than
-SPARSE = 4  # times the nodes
+SPARSE = 4  # times the nodes of a key that its close pairs may be for all of them to be candidates
 ROW = np.dtype([("key", "<u8"), ("node", "<i8"), ("fp", "<u8"), ("more", "<u8"), ("size", "<u4")])
 _CLASS, _REST = np.uint64(7), np.uint64(0xFFFFFFFFFFFFFFF8)
 
@@ -141,8 +140,12 @@ def _forest(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, sha
     return np.concatenate(u), np.concatenate(v), tree
 
 
-def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """(u, v), u < v: positions of all close pairs; in order of size, only those near in size are looked at."""
+def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, share: float, most: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+    """(u, v), u < v: positions of all close pairs, None if they turn out to be more than most.
+
+    In order of size, only those near in size are looked at.
+    """
+    total = 0
     us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     order = np.argsort(size, kind="stable")
     fp, more, size = fp[order], more[order], size[order]
@@ -152,6 +155,9 @@ def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, shar
         at, to = np.arange(i, last), np.arange(i, end)
         u, v = np.nonzero(_close(fp, more, size, at[:, None], to[None, :], radius, share) & (to[None, :] > at[:, None]))
         us.append(order[u + i]), vs.append(order[v + i])
+        total += len(u)
+        if most is not None and total > most:
+            return None
     u, v = np.concatenate(us), np.concatenate(vs)
     return np.minimum(u, v), np.maximum(u, v)
 
@@ -175,8 +181,10 @@ def _settle(a: np.ndarray, radii: np.ndarray, share: float, every: bool):
         us.append(i), vs.append(i + lag)
     for i, n in zip(start[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
         own = fp[i : i + n], more[i : i + n], big[i : i + n], int(radius[i]), share
-        u, v = _every(*own) if every or n <= SOME else (None, None)
-        if u is None or not every and len(u) > SPARSE * n:
+        found = _every(*own, None if every else SPARSE * n)
+        if found:
+            u, v = found
+        else:
             u, v, tree = _forest(*own)
             many = np.flatnonzero(np.bincount(tree)[tree] > 2)
             members.append(many + i)
