@@ -565,3 +565,19 @@ def test_label_sources(spark):
     cells = spark.createDataFrame([(1, "x", "kind")], "cell long, label string, `my label` string")
     pick = lambda key: given_labels(PipelineConfig(label_key=key), cells)
     assert pick("my label").first().label == "kind" and pick("other").first().label == "x" and pick(None) is None
+
+
+def test_sixty_values_of_the_table(spark):
+    """Sixty components of the given counts, each within a hundredth of the exact value."""
+    from tallymesh.sources import tables as src
+
+    d = "/root/testdata/sf0.01"
+    cells = src.cells(spark, d)
+    values = qc.lognorm(src.counts(spark, d)).toPandas()
+    got = linalg.pca(qc.lognorm(src.counts(spark, d)), cells, 60)
+    ids, genes = np.array(sorted(r.cell for r in cells.collect())), np.unique(values["gene"])
+    x = np.zeros((len(ids), len(genes)))
+    x[np.searchsorted(ids, values["cell"]), np.searchsorted(genes, values["gene"])] = values["value"]
+    z = np.clip((x - x.mean(0)) / x.std(0, ddof=1), -10, 10)
+    want = np.sqrt(np.linalg.eigvalsh(z @ z.T)[::-1][:60])
+    assert [r.s for r in got["sv"].orderBy("i").collect()] == pytest.approx(want, rel=0.01)
