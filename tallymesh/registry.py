@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import classify, cluster, integrate, linalg, metrics, neighbors, qc, rogue, umap
+from .plans.staging import stage
 from .sources import tables as src
 
 QUERIES: dict = {}
@@ -299,18 +300,18 @@ def cluster_weighted_sums(s, d):
 
 
 _NEAR = "near AS (SELECT a.cell, a.batch, b.cell AS nbr, row_number() OVER (PARTITION BY a.cell ORDER BY list_distance(a.x, b.x), b.cell) AS k FROM u a JOIN u b ON a.batch + b.batch = 1)"
-_ANCHORS = "anchor AS (SELECT b.x AS at, list_transform(range(1, len(b.x) + 1), lambda i: a.x[i] - b.x[i]) AS shift FROM near p JOIN near q ON p.cell = q.nbr AND p.nbr = q.cell JOIN u a ON a.cell = p.cell JOIN u b ON b.cell = p.nbr WHERE p.batch = 0 AND p.k <= 5 AND q.k <= 5)"
+_ANCHORS = "anchor AS (SELECT b.x AS spot, list_transform(range(1, len(b.x) + 1), lambda i: a.x[i] - b.x[i]) AS shift FROM near p JOIN near q ON p.cell = q.nbr AND p.nbr = q.cell JOIN u a ON a.cell = p.cell JOIN u b ON b.cell = p.nbr WHERE p.batch = 0 AND p.k <= 5 AND q.k <= 5)"
 
 
-@_query("SELECT cell, k::INT AS dim, round(max(v) + sum(w * h) / sum(w), 5) AS value FROM (SELECT cell, w, unnest(x) AS v, unnest(shift) AS h, unnest(range(len(x))) AS k FROM (SELECT cell, x, shift, exp(-((1 - list_inner_product(x, at)) ** 2) / (2 * 0.3 ** 2)) AS w FROM u, anchor WHERE batch = 1)) GROUP BY 1, 2", _EMB, _UNIT, _NEAR, _ANCHORS)
+@_query("SELECT cell, k::INT AS dim, round(max(v) + sum(w * h) / sum(w), 5) + 0.0 AS value FROM (SELECT cell, w, unnest(x) AS v, unnest(shift) AS h, unnest(range(len(x))) AS k FROM (SELECT cell, x, shift, exp(-((1 - list_inner_product(x, spot)) ** 2) / (2 * 0.3 ** 2)) AS w FROM u, anchor WHERE batch = 1)) GROUP BY 1, 2", _EMB, _UNIT, _NEAR, _ANCHORS)
 def anchor_smoothing(s, d):
     """Cells of batch 1 moved by the anchors that they have in batch 0."""
     p = neighbors.normalise(_points(s, d)).withColumn("batch", F.col("batch").cast("string"))
     pairs = neighbors.mutual_pairs(p, "0", "1", 5)
     there = pairs.join(p.select(F.col("cell").alias("ref"), F.col("vec").alias("rv")), "ref").join(p.select("cell", "vec"), "cell")
-    anchors = there.select("ref", "cell", "vec", F.zip_with("rv", "vec", lambda x, y: x - y).alias("shift"))
+    anchors = stage(there.select("ref", "cell", "vec", F.zip_with("rv", "vec", lambda x, y: x - y).alias("shift")), "anchors")
     moved = integrate.smoothed(p.where("batch = '1'"), anchors, 0.3)
-    return moved.select("cell", F.posexplode("vec").alias("dim", "value")).select("cell", "dim", _r("value", 5))
+    return moved.select("cell", F.posexplode("vec").alias("dim", "value")).select("cell", "dim", (F.round("value", 5) + 0.0).alias("value"))  # no negative zero
 
 
 # ---------------------------------------------------------------- metrics
