@@ -149,8 +149,9 @@ def _every(fp: np.ndarray, more: np.ndarray, size: np.ndarray, radius: int, shar
     us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     order = np.argsort(size, kind="stable")
     fp, more, size = fp[order], more[order], size[order]
-    for i in range(0, len(fp), 256):
-        last = min(i + 256, len(fp))
+    step = max(16, min(256, (1 << 19) // max(1, len(fp))))  # some 4 MB a comparison
+    for i in range(0, len(fp), step):
+        last = min(i + step, len(fp))
         end = int(np.searchsorted(size, size[last - 1] / share + 1e-6, "right")) if share > 0 else len(fp)
         at, to = np.arange(i, last), np.arange(i, end)
         u, v = np.nonzero(_close(fp, more, size, at[:, None], to[None, :], radius, share) & (to[None, :] > at[:, None]))
