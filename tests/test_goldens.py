@@ -581,3 +581,43 @@ def test_sixty_values_of_the_table(spark):
     z = np.clip((x - x.mean(0)) / x.std(0, ddof=1), -10, 10)
     want = np.sqrt(np.linalg.eigvalsh(z @ z.T)[::-1][:60])
     assert [r.s for r in got["sv"].orderBy("i").collect()] == pytest.approx(want, rel=0.01)
+
+
+def test_blocks_are_sent_once_per_group_and_ties_go_to_small_ids(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 3, (900, 2)).astype(float)  # nine places of some hundred cells each
+    x[7] = np.nan
+    p = spark.createDataFrame([(i, v.tolist(), str(i % 2)) for i, v in enumerate(x)], "cell long, vec array<double>, batch string")
+    sent = neighbors.block_pairs(p.withColumn("code", F.lit(0)).drop("batch"), 9).count()
+    assert sent <= 100 * (2 * 8 + 2)  # all pairs of blocks were 10,000 rows
+    got = {(r.cell, r.nbr_batch, r.slot): r.nbr for r in neighbors.knn(p, 3, block=100).collect()}
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        for b in range(2):
+            own = np.arange(b, len(x), 2)
+            want = own[np.lexsort((own, d[own]))][:3]
+            assert [got[i, str(b), k] for k in (1, 2, 3)] == want.tolist()
+
+
+def test_isolated_labels_are_scored_in_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+    x, lab, batch = rng.normal(size=(120, 3)), np.arange(120) % 4, np.arange(120) // 4 % 3
+    batch[lab == 3] = np.arange(30) % 5
+    p = spark.createDataFrame([(i, x[i].tolist(), int(lab[i]), int(batch[i])) for i in range(120)], "cell long, vec array<double>, label int, batch int")
+    d, scores = np.linalg.norm(x[:, None] - x[None], axis=2), []
+    for l in range(3):
+        s = []
+        for i in np.flatnonzero(lab == l):
+            a, b = d[i][(lab == l) & (np.arange(120) != i)].mean(), d[i][lab != l].mean()
+            s.append(((b - a) / max(a, b) + 1) / 2)
+        scores.append(np.mean(s))
+    assert metrics.isolated_asw(p).first()[0] == pytest.approx(np.mean(scores), abs=1e-9)
+    sums = metrics.distance_sums(p.select("cell", "vec", F.col("label").alias("cluster"), F.lit("0").alias("part")), block=7)
+    got = {(r.cell, r.cluster): (r.s, r.n) for r in sums.collect()}
+    for i in range(120):
+        for l in range(4):
+            assert got[i, str(l)] == (pytest.approx(d[i][lab == l].sum(), abs=1e-9), (lab == l).sum() - (lab[i] == l))
