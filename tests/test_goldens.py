@@ -621,3 +621,16 @@ def test_isolated_labels_are_scored_in_one_pass(spark):
     for i in range(120):
         for l in range(4):
             assert got[i, str(l)] == (pytest.approx(d[i][lab == l].sum(), abs=1e-9), (lab == l).sum() - (lab[i] == l))
+
+
+def test_anchors_of_a_cell_pass_as_one(spark, monkeypatch):
+    passed, own = {}, integrate.stage
+    monkeypatch.setattr(integrate, "stage", lambda df, name, *a: passed.setdefault(name, own(df, name, *a)))
+    rng = np.random.default_rng(11)
+    x, a, shift, of = rng.normal(size=(30, 4)), rng.normal(size=(25, 4)), rng.normal(size=(500, 4)), np.arange(500) % 25
+    x, a = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, a))
+    anchors = spark.createDataFrame([(i, int(of[i]), a[of[i]].tolist(), v.tolist()) for i, v in enumerate(shift)], "ref long, cell long, vec array<double>, shift array<double>")
+    got = np.array([r.vec for r in integrate.smoothed(pts(spark, [(v, "b") for v in x]), anchors, 0.3).orderBy("cell").collect()])
+    w = np.exp(-((1 - x @ a[of].T) ** 2) / (2 * 0.3**2))
+    assert got == pytest.approx(x + w @ shift / w.sum(1, keepdims=True), abs=1e-9)
+    assert passed["shifts"].count() == 25
