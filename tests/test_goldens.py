@@ -634,3 +634,22 @@ def test_anchors_of_a_cell_pass_as_one(spark, monkeypatch):
     w = np.exp(-((1 - x @ a[of].T) ** 2) / (2 * 0.3**2))
     assert got == pytest.approx(x + w @ shift / w.sum(1, keepdims=True), abs=1e-9)
     assert passed["shifts"].count() == 25
+
+
+def test_self_assessment_fits_folds_side_by_side_on_few_partitions(spark, monkeypatch):
+    import threading
+
+    from pyspark.sql import functions as F
+
+    all_three, parts, fit = threading.Barrier(3, timeout=60), [], classify.LogisticRegression.fit
+
+    def seen(self, train, *args):
+        parts.append(train.rdd.getNumPartitions())
+        all_three.wait()  # breaks where one fold waits for another
+        return fit(self, train, *args)
+
+    monkeypatch.setattr(classify.LogisticRegression, "fit", seen)
+    rng = np.random.default_rng(0)
+    p = pts(spark, [(v + 9 * (i % 2), "a") for i, v in enumerate(rng.normal(size=(90, 2)))]).withColumn("cluster", F.col("cell") % 2).repartition(8)
+    assert classify.self_assessment(p) == 1.0
+    assert parts == [1, 1, 1]
