@@ -653,3 +653,13 @@ def test_self_assessment_fits_folds_side_by_side_on_few_partitions(spark, monkey
     p = pts(spark, [(v + 9 * (i % 2), "a") for i, v in enumerate(rng.normal(size=(90, 2)))]).withColumn("cluster", F.col("cell") % 2).repartition(8)
     assert classify.self_assessment(p) == 1.0
     assert parts == [1, 1, 1]
+
+
+def test_edge_counts_look_for_neighbours_once(spark, monkeypatch):
+    from tallymesh import registry
+
+    found, knn = [], neighbors.knn
+    monkeypatch.setattr(neighbors, "knn", lambda *a, **k: found.append(1) or knn(*a, **k))
+    got = registry.edge_counts(spark, "/root/testdata/sf0.001").first()
+    assert got["n_slots"] == 9 * got["n_cells"] and got["n_edges"] >= got["n_slots"]
+    assert found == [1]
