@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, text_bytes
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1 << 19  # a round trip has two workers a core, and either may hold a cache
 CACHE_LENGTH = 64  # characters of a piece up to which it is cached
 #: Fixed value: the pattern by which this family of vocabularies cuts text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -91,14 +91,18 @@ class Codec(dict):
     def __init__(self, spec: str, limit: int = CACHE_PIECES):
         super().__init__()
         self.words, self.limit, self.spec = Vocabulary(spec), limit, spec
+        self.old: dict[str, tuple[int, ...]] = {}  # the generation before: pieces that come back stay
         self.cut = regex.compile(PIECES)
         self.fine: set[str] = set()  # characters whose kind is beyond doubt
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        byte = self.words.byte
-        ids = tuple(merge([byte[b] for b in piece.encode()], self.words.merges))
+        ids = self.old.get(piece)
+        if ids is None:
+            byte = self.words.byte
+            ids = tuple(merge([byte[b] for b in piece.encode()], self.words.merges))
         if len(piece) <= CACHE_LENGTH:
-            if len(self) >= self.limit:
+            if len(self) >= self.limit // 2:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids

@@ -654,3 +654,20 @@ def test_lines_of_one_simhash_all_meet(spark):
     assert len(set(line_hashes([t.encode() for _, t in rows_]).tolist())) == 1
     got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
     assert got == {1: rows_[0][1], 2: rows_[1][1], 3: ""}
+
+
+def test_bpe_cache_is_bounded_and_keeps_what_comes_back(monkeypatch):
+    import public_tokenizers
+    from tallymesh.llm import bpe
+
+    merged, merge = [], bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda symbols, merges: merged.append(1) or merge(symbols, merges))
+    assert bpe.CACHE_PIECES <= 1 << 19
+    spec = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    small, large = bpe.Codec(spec, 8), bpe.Codec(spec)
+    text = "".join(f" hot w{'abcdefghij'[i % 10]}x{'klmnopqrst'[i // 10]}" for i in range(50))
+    assert small.encode(text) == large.encode(text)
+    assert len(small) + len(small.old) <= 8
+    merged.clear()
+    small.encode(" hot")
+    assert not merged
