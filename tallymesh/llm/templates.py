@@ -73,7 +73,8 @@ def _region(name: str, raw: str, around: int) -> tuple[int, str]:
     """Kind of region an element starts (or the one around it) and its signature.
 
     What is out or a comment stays so inside; only outside of these an article can start. Ids of
-    sections inside an article are anchors of their headings, which say nothing of the kind.
+    sections inside an article are anchors of their headings, which say nothing of the kind; only one
+    that names reader comments does.
     """
     names: list[list[str]] = []
     sign, role, hidden = name, "", False
@@ -81,7 +82,7 @@ def _region(name: str, raw: str, around: int) -> tuple[int, str]:
         for key, value in _ATTR.findall(raw):
             key = key.lower()
             value = value.strip("\"'")
-            if key == "class" or key == "id" and not (around in (ARTICLE, MAIN) and name == "section"):
+            if key == "class" or key == "id" and (around not in (ARTICLE, MAIN) or name != "section" or _says([w.lower() for w in _WORD.findall(value)], _COMMENT_WORDS)):
                 names += [[w.lower() for w in _WORD.findall(x)] for x in value.split()]
                 if key == "class":
                     sign = f"{name}.{' '.join(sorted(value.split()))}"

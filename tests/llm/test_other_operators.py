@@ -88,6 +88,14 @@ def test_main_text_of_odd_pages(page, want):
     assert main_text(page or "") == want
 
 
+@pytest.mark.parametrize("name,kept", [("comments", False), ("article-comments", False), ("code-comments-in-python", True), ("related-work", True)])
+def test_section_ids_inside_an_article_rule_out_reader_comments_alone(name, kept):
+    from tallymesh.llm.templates import main_text
+
+    page = f"<article><p>one</p><section id='{name}'><p>two</p></section></article>"
+    assert main_text(page) == ("one\ntwo" if kept else "one")
+
+
 LONG = "<p>A long sentence of the body that goes on and on.</p>" * 30
 BODY = "\n".join(["A long sentence of the body that goes on and on."] * 30)
 
