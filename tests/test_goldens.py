@@ -361,6 +361,33 @@ def entries(spark, x):
     return v, spark.range(len(x)).withColumnRenamed("id", "cell")
 
 
+@pytest.mark.parametrize("centre", [False, True])
+def test_components_of_more_genes_than_a_side_matrix_may_have(spark, monkeypatch, centre):
+    monkeypatch.setattr(linalg, "MAX_SIDE", 0)  # the side matrix is a table
+    monkeypatch.setattr(linalg, "STRIP", 8 * 1500 * 7)
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(90, 6)) * [40, 30, 22, 15, 9, 5]) @ rng.normal(size=(6, 1500)) * (rng.random((90, 1500)) < 0.2) + 0.0
+    x[7] = 0  # a cell without entries
+    x[:, 1100] = 0
+    v = spark.createDataFrame([(i, j, float(x[i, j])) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(x)), strict=True)], "cell long, gene long, value double")
+    cells = spark.range(90).withColumnRenamed("id", "cell")
+    if centre:
+        got, z = linalg.pca(v, cells, 5, max_value=None), np.delete(x, 1100, 1)
+        z = (z - z.mean(0)) / z.std(0, ddof=1)
+    else:
+        got, z = linalg.sparse_svd(v, cells, 5), np.delete(x, 1100, 1)
+    u, s, w = np.linalg.svd(z, full_matrices=False)
+    assert [r.s for r in got["sv"].orderBy("i").collect()] == pytest.approx(s[:5], rel=1e-6)
+    load = {r.gene: np.array(r.vec) for r in got["loadings"].collect()}
+    assert sorted(load) == [g for g in range(1500) if g != 1100]
+    load = np.array([load[g] for g in sorted(load)])
+    assert np.abs(load.T @ load - np.eye(5)).max() < 1e-9
+    assert (load[np.abs(load).argmax(0), range(5)] > 0).all()
+    emb = {r.cell: r.vec for r in got["emb"].collect()}
+    assert np.abs(np.array([emb[i] for i in range(90)]) - z @ load).max() < 1e-8 * s[0]
+    assert np.abs(np.abs(load.T @ w[:5].T) - np.eye(5)).max() < 1e-2
+
+
 @pytest.mark.parametrize("partitions,fill", [(1, 1 << 22), (7, 500)])
 def test_sparse_svd(spark, monkeypatch, partitions, fill):
     """Whatever the partitions and stretches: values, loadings and projections of the matrix as it is."""
