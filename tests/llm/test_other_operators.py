@@ -525,6 +525,52 @@ def test_many_distances_at_once():
     assert similar(pairs).tolist() == want
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdé ü", "\0a😀", "".join(map(chr, range(0x4E00, 0x5200)))])
+def test_changes_within_a_band(letters):
+    """Bands of one word and of several, few characters and more than share a table."""
+    from tallymesh.llm.lines import _within
+
+    rng, pairs = np.random.default_rng(2), []
+    for n in [2, 9, 64, 65, 150, 330, 700] * 6:
+        a = [letters[i] for i in rng.integers(0, len(letters), n)]
+        b = list(a)
+        for _ in range(int(rng.integers(0, n // 2 + 2))):
+            i, kind = int(rng.integers(0, len(b) + 1)), int(rng.integers(0, 3))
+            b[i : i + (kind != 0)] = [] if kind == 1 and len(b) > 1 else [letters[int(rng.integers(0, len(letters)))]]
+        pairs.append(sorted(("".join(a), "".join(b)), key=len, reverse=True))
+    pairs = sorted((p for p in pairs if len(p[0]) - len(p[1]) <= len(p[0]) // 5), key=lambda p: len(p[1]))
+    most = np.array([len(a) // 5 for a, _ in pairs])
+    want = [edit(a, b) <= m for (a, b), m in zip(pairs, most.tolist(), strict=True)]
+    assert 5 < sum(want) < len(want) - 1
+    assert _within(*zip(*pairs, strict=True), 3, most).tolist() == want
+
+
+def test_packed_rows_come_back_and_share_bytes():
+    """Rows of one segment travel by columns of bytes, so what they share takes no room."""
+    import zlib
+
+    from tallymesh.llm.common import text_bytes
+    from tallymesh.llm.meet import PACK, ROW, _packed, _unpacked
+
+    rng = np.random.default_rng(0)
+    a = np.empty(3 * PACK + 5, ROW)
+    for name in ("key", "node", "fp", "more"):
+        a[name] = rng.integers(0, 1 << 63, len(a), np.uint64).view(ROW[name])
+    a["size"] = rng.integers(20, 500, len(a))
+    sent = _packed(a, 4)
+    data, off = text_bytes(sent.column(1))
+    back = np.concatenate([_unpacked(data[i:j]) for i, j in zip(off[:-1], off[1:], strict=True)])
+    assert back.tolist() == a[np.argsort(a["key"], kind="stable")].tolist()
+    assert len(zlib.compress(data.tobytes(), 1)) < 0.93 * a.nbytes
+
+
+@pytest.mark.parametrize("text", ["", "A  b\tc\n ,. \n\r\nÉ x ", " one \ntwo", "\x1c a\n..."])
+def test_normal_lines(text):
+    from tallymesh.llm.lines import _FLAT, normal
+
+    assert normal(text) == [b" ".join(x.split()) if x.translate(_FLAT).strip() else b"" for x in text.lower().encode().split(b"\n")]
+
+
 def test_lines_near_a_hot_line(spark, monkeypatch):
     """Groups beyond FEW lines, hot keys, and strays that a forest alone would not compare."""
     from tallymesh.llm import meet
