@@ -261,6 +261,14 @@ def test_embedding_silhouettes_and_parsimony(spark):
     assert cluster.bulge(up).first().x == 2.0 and cluster.bulge(down.withColumn("y", -down["y"])).first().x == 2.0
 
 
+def test_hull_does_not_follow_the_order_of_sums():
+    p = [(1.0, 1.0), (0.5, 0.3), (0.5 + 1e-16, 0.3 - 1e-16), (0.2, 0.2), (0.2 - 1e-16, 0.2 - 1e-16)]
+    for more in ((0, 0), (1e-15, -1e-15), (-1e-15, 1e-15)):
+        q = [*p[:2], (p[2][0] + more[0], p[2][1] + more[1]), *p[3:]]
+        assert cluster.hull(q) == [3, 1, 0]
+        assert [x["on_hull"] for x in cluster.ranges(q, 0.05, 1.5)] == [True, True, False, True, False]
+
+
 def test_hull_and_ranges():
     p = [(1.0, 1.0), (0.875, 0.5), (0.625, 0.25), (0.5, 0.375), (0.75, 0.375)]
     assert cluster.hull(p) == [2, 1, 0]  # the collinear point between is left out
