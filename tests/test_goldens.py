@@ -261,6 +261,22 @@ def test_embedding_silhouettes_and_parsimony(spark):
     assert cluster.bulge(up).first().x == 2.0 and cluster.bulge(down.withColumn("y", -down["y"])).first().x == 2.0
 
 
+def test_equal_points_are_looked_at_k_times(spark):
+    x = np.repeat([[0.0, 0.0], [1.0, 0.0], [0.0, 2.0]], [300, 2, 1], axis=0)
+    ids, kept = neighbors._firsts(np.arange(303)[::-1].copy(), x, 3)
+    assert sorted(ids.tolist()) == [0, 1, 2, 3, 4, 5] and len(kept) == 6
+    found = neighbors.knn(pts(spark, [(v, "a") for v in x]), 4, block=64).groupBy("cell").agg({"nbr": "sum", "*": "count"}).collect()
+    assert {(r["count(1)"], r["sum(nbr)"]) for r in found if r.cell < 300} == {(4, 0 + 1 + 2 + 3)}
+    assert {(r["count(1)"], r["sum(nbr)"]) for r in found if 300 <= r.cell < 302} == {(4, 300 + 301 + 0 + 1)}
+
+
+def test_hubs_do_not_fling_the_layout_apart():
+    n = 4000
+    i = np.concatenate([np.zeros(n - 1, np.int64), np.arange(1, n)])
+    y = umap.layout(i, i[::-1].copy(), np.ones(len(i)), np.random.default_rng(0).normal(size=(n, 2)), *umap.fit_ab(), epochs=10)
+    assert np.isfinite(y).all() and np.abs(y).max() < 100
+
+
 def test_hull_does_not_follow_the_order_of_sums():
     p = [(1.0, 1.0), (0.5, 0.3), (0.5 + 1e-16, 0.3 - 1e-16), (0.2, 0.2), (0.2 - 1e-16, 0.2 - 1e-16)]
     for more in ((0, 0), (1e-15, -1e-15), (-1e-15, 1e-15)):
