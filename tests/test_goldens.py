@@ -277,6 +277,24 @@ def test_hubs_do_not_fling_the_layout_apart():
     assert np.isfinite(y).all() and np.abs(y).max() < 100
 
 
+def test_graphs_do_not_pass_through_the_driver(spark, monkeypatch):
+    ring = [(a, (a + s) % 40, 1.0) for a in range(40) for s in (1, -1)]
+    e, cells = spark.createDataFrame(ring, "i long, j long, w double"), spark.range(40).withColumnRenamed("id", "cell")
+
+    def gathered(*_, **__):
+        raise AssertionError("gathered on the driver")
+
+    monkeypatch.setattr(type(e), "toArrow", gathered)
+    monkeypatch.setattr(type(e), "collect", gathered)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", gathered)
+    runs = cluster.sweep(e, cells, [0.3, 1.0])
+    y = umap.umap(cells.selectExpr("cell", "array(double(cell)) AS vec"), e, epochs=3)
+    monkeypatch.undo()
+    assert runs.count() == 80 and y.count() == 40
+    i, j, w = (np.array(x) for x in zip(*sorted(ring)))
+    assert [r.cluster for r in runs.where("gamma = 1.0").orderBy("cell").collect()] == cluster.leiden(40, i, j, w, 1.0).tolist()
+
+
 def test_hull_does_not_follow_the_order_of_sums():
     p = [(1.0, 1.0), (0.5, 0.3), (0.5 + 1e-16, 0.3 - 1e-16), (0.2, 0.2), (0.2 - 1e-16, 0.2 - 1e-16)]
     for more in ((0, 0), (1e-15, -1e-15), (-1e-15, 1e-15)):
