@@ -295,6 +295,29 @@ def test_graphs_do_not_pass_through_the_driver(spark, monkeypatch):
     assert [r.cluster for r in runs.where("gamma = 1.0").orderBy("cell").collect()] == cluster.leiden(40, i, j, w, 1.0).tolist()
 
 
+def test_rows_meet_the_genes_of_their_piece_alone(spark, monkeypatch):
+    monkeypatch.setattr(linalg, "MAX_SIDE", 0)  # the side matrix is a table
+
+    def whole(*_):
+        raise AssertionError("a strip over all genes")
+
+    monkeypatch.setattr(linalg.Side, "strip", whole)
+    rng = np.random.default_rng(5)
+    x = np.zeros((40, 2500))
+    for c in range(40):
+        x[c, rng.choice(100, 30, replace=False) + 60 * c] = rng.gamma(2, 1, 30)
+    x[:, 0] += 1.0
+    used = x[:, x.any(0)]
+    values = spark.createDataFrame([(int(c), int(g), float(x[c, g])) for c, g in zip(*np.nonzero(x), strict=True)], "cell long, gene long, value double")
+    found = linalg.sparse_svd(values, spark.range(40).withColumnRenamed("id", "cell"), 3, power=3)
+    want = np.linalg.svd(used, compute_uv=False)[:3]
+    assert np.allclose([r.s for r in found["sv"].orderBy("i").collect()], want, rtol=2e-2)
+    assert found["emb"].count() == 40 and found["loadings"].count() == used.shape[1]
+    emb = np.array([r.vec for r in found["emb"].orderBy("cell").collect()])
+    load = np.array([r.vec for r in found["loadings"].orderBy("gene").collect()])
+    assert np.abs(used @ load - emb).max() < 1e-9
+
+
 def test_hull_does_not_follow_the_order_of_sums():
     p = [(1.0, 1.0), (0.5, 0.3), (0.5 + 1e-16, 0.3 - 1e-16), (0.2, 0.2), (0.2 - 1e-16, 0.2 - 1e-16)]
     for more in ((0, 0), (1e-15, -1e-15), (-1e-15, 1e-15)):
